@@ -8,10 +8,15 @@ the Spark code.
 from __future__ import annotations
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
+HEADS: dict[str, str] = {}
+RECURSIVE: set[str] = set()
 
 
-def cte(name: str, body: str, *deps: str) -> None:
+def cte(name: str, body: str, *deps: str, cols: str | None = None, recursive: bool = False) -> None:
     CTES[name] = (deps, body)
+    HEADS[name] = f"{name}({cols})" if cols else name
+    if recursive:
+        RECURSIVE.add(name)
 
 
 def _order(names) -> list[str]:
@@ -31,13 +36,8 @@ def _order(names) -> list[str]:
 
 def sql(body: str, *needs: str) -> str:
     names = _order(needs)
-    recursive = any("RECURSIVE" in CTES[n][1][:40] for n in names)
-    parts = []
-    for n in names:
-        text = CTES[n][1]
-        if text.startswith("RECURSIVE"):
-            text = text[len("RECURSIVE"):]
-        parts.append(f"{n} AS ({text})")
+    recursive = any(n in RECURSIVE for n in names)
+    parts = [f"{HEADS[n]} AS ({CTES[n][1]})" for n in names]
     head = ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) if parts else ""
     return f"{head}\n{body}"
 
@@ -125,3 +125,64 @@ cte("gold12", _gold("gold12_agg"), "gold12_agg")
 # deterministic risk score on day-grain gold
 RISK = "round(0.6 * least(latency_ms_p95 / 150.0, 1.0) + 0.004 * prb_util_pct_avg, 6)"
 cte("scored", f"SELECT *, {RISK} AS risk_score FROM gold_day", "gold_day")
+
+
+# ---- neighbour graph (k=2 lattice over (region, cell) pairs) ----
+cte("cells", "SELECT DISTINCT region, cell_id FROM silver WHERE cell_id IS NOT NULL", "silver")
+cte("lattice", """
+SELECT DISTINCT a.cell_id AS src_cell_id, b.cell_id AS dst_cell_id
+FROM (SELECT region, cell_id, row_number() OVER (PARTITION BY region ORDER BY cell_id) AS i FROM cells) a
+JOIN (SELECT region, cell_id, row_number() OVER (PARTITION BY region ORDER BY cell_id) AS i FROM cells) b
+  ON a.region = b.region AND b.i - a.i BETWEEN 1 AND 2""", "cells")
+cte("canon", """SELECT DISTINCT least(src_cell_id, dst_cell_id) AS u, greatest(src_cell_id, dst_cell_id) AS v
+FROM lattice WHERE src_cell_id <> dst_cell_id""", "lattice")
+cte("adj", "SELECT u, v FROM canon UNION ALL SELECT v, u FROM canon", "canon")
+cte("deg", "SELECT u AS v, count(*) AS deg FROM adj GROUP BY u", "adj")
+cte("nv", "SELECT count(*) AS n FROM deg", "deg")
+cte("adj_self", """SELECT a.u, a.v, 1.0 / d.deg AS w, false AS self FROM adj a JOIN deg d ON d.v = a.u
+UNION ALL SELECT v, v, 0.0, true FROM deg""", "adj", "deg")
+cte("pr", """
+SELECT 0, v, 1.0 / (SELECT n FROM nv), 1e300 FROM deg
+UNION ALL
+SELECT it, v, rank, sum(abs(rank - prev)) OVER () FROM (
+  SELECT p.it + 1 AS it, s.v,
+    (1 - 0.85) / (SELECT n FROM nv) + 0.85 * sum(CASE WHEN NOT s.self THEN p.rank * s.w END) AS rank,
+    max(CASE WHEN s.self THEN p.rank END) AS prev
+  FROM pr p JOIN adj_self s ON s.u = p.v
+  WHERE p.err >= (SELECT n FROM nv) * 1e-6 AND p.it < 100
+  GROUP BY p.it, s.v) x""", "deg", "nv", "adj_self", cols="it, v, rank, err", recursive=True)
+cte("pagerank", "SELECT v AS cell_id, rank AS pagerank FROM pr WHERE it = (SELECT max(it) FROM pr)", "pr")
+cte("walks", """
+SELECT v, v, 0 FROM deg
+UNION ALL
+SELECT DISTINCT w.s, a.v, w.d + 1 FROM walks w JOIN adj a ON a.u = w.v WHERE w.d < (SELECT n FROM nv)""",
+    "deg", "adj", "nv", cols="s, v, d", recursive=True)
+cte("dist", "SELECT s, v, min(d) AS d FROM walks GROUP BY s, v", "walks")
+cte("sig", """
+SELECT v, v, 0, CAST(1.0 AS DOUBLE) FROM deg
+UNION ALL
+SELECT g.s, a.v, g.d + 1, sum(g.sigma) FROM sig g JOIN adj a ON a.u = g.v
+  JOIN dist t ON t.s = g.s AND t.v = a.v AND t.d = g.d + 1
+GROUP BY g.s, a.v, g.d""", "deg", "adj", "dist", cols="s, v, d, sigma", recursive=True)
+cte("betweenness", """
+SELECT d.v AS cell_id,
+  coalesce(b.b, 0) / CASE WHEN (SELECT n FROM nv) > 2
+                          THEN ((SELECT n FROM nv) - 1) * ((SELECT n FROM nv) - 2) ELSE 1 END AS betweenness
+FROM deg d LEFT JOIN (
+  SELECT p1.v, sum(p1.sigma * p2.sigma / p3.sigma) AS b
+  FROM sig p1 JOIN sig p2 ON p2.s = p1.v JOIN sig p3 ON p3.s = p1.s AND p3.v = p2.v
+  WHERE p1.d + p2.d = p3.d AND p1.s <> p1.v AND p2.v <> p1.v AND p1.s <> p2.v
+  GROUP BY p1.v) b ON b.v = d.v""", "deg", "sig", "nv")
+cte("centrality", """
+SELECT d.v AS cell_id, d.deg AS neighbor_degree, p.pagerank, b.betweenness
+FROM deg d JOIN pagerank p ON p.cell_id = d.v JOIN betweenness b ON b.cell_id = d.v""",
+    "deg", "pagerank", "betweenness")
+
+# latest-day scores with graph features (one copy, nulls -> 0)
+cte("scores_latest", """
+SELECT s.cell_id, s.region, s.ts_hour, s.risk_score, s.latency_ms_p95, s.prb_util_pct_avg, s.sinr_db_avg,
+  s.thrpt_mbps_avg, s.rsrp_dbm_avg, s.jitter_ms_avg, s.pkt_loss_pct_avg,
+  coalesce(c.neighbor_degree, 0) AS neighbor_degree, coalesce(c.pagerank, 0.0) AS pagerank,
+  coalesce(c.betweenness, 0.0) AS betweenness
+FROM scored s LEFT JOIN centrality c ON c.cell_id = s.cell_id
+WHERE s.ts_hour = (SELECT max(ts_hour) FROM scored)""", "scored", "centrality")
