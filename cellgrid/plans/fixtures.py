@@ -58,3 +58,17 @@ def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("cell_id", "region", "ts_hour", "risk_score", "latency_ms_p95", "prb_util_pct_avg",
                     "sinr_db_avg", "thrpt_mbps_avg", "rsrp_dbm_avg", "jitter_ms_avg", "pkt_loss_pct_avg",
                     "neighbor_degree", "pagerank", "betweenness")
+
+
+def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit):
+    """Fit once per input folder and keep the model in the shared scratch area."""
+    from pyspark.ml import PipelineModel
+    from ..session import _exists, _key, scratch_path
+    path = scratch_path(spark, f"model-{kind}-{_key(kind, sf_dir)}")
+    jvm = spark.sparkContext._jvm
+    jp = jvm.org.apache.hadoop.fs.Path(path + "/metadata")
+    if jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp):
+        return PipelineModel.load(path)
+    model = fit()
+    model.write().overwrite().save(path)
+    return model

@@ -52,7 +52,7 @@ CENTRALITY = T.StructType([T.StructField("cell_id", T.StringType()),
 FACT_CELL_HOUR = T.StructType(
     [T.StructField("cell_id", T.StringType()),
      T.StructField("region", T.StringType()),
-     T.StructField("ts_hour", T.TimestampType())]
+     T.StructField("ts_hour", T.TimestampNTZType())]  # naive UTC on the lake side; TIMESTAMPTZ in the sink
     + [T.StructField(c, T.DoubleType()) for c in
        ["latency_ms_avg", "latency_ms_p95", "prb_util_pct_avg", "thrpt_mbps_avg", "sinr_db_avg",
         "rsrp_dbm_avg", "anomaly_rate"]]
@@ -63,7 +63,7 @@ FACT_CELL_HOUR = T.StructType(
 MART_CELL_HOUR_SCORES = T.StructType(
     [T.StructField("cell_id", T.StringType()),
      T.StructField("region", T.StringType()),
-     T.StructField("ts_hour", T.TimestampType())]
+     T.StructField("ts_hour", T.TimestampNTZType())]
     + [T.StructField(c, T.DoubleType()) for c in
        ["risk_score", "latency_ms_p95", "prb_util_pct_avg", "sinr_db_avg", "thrpt_mbps_avg"]])
 

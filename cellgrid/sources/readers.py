@@ -78,9 +78,10 @@ def load_cells(spark: SparkSession, sources: list[tuple[str, str]], default_regi
     raise FileNotFoundError("could not derive cells from any source: " + "; ".join(errors))
 
 
-def metrics_value(metrics: DataFrame, path: str, default: float) -> F.Column:
-    """A nested metrics field as a scalar column, with a default when absent or null."""
-    return F.coalesce(metrics.select(F.col(path).cast("double")).scalar(), F.lit(float(default)))
+def metrics_value(metrics: DataFrame, path, default: float) -> F.Column:
+    """A nested metrics field (dotted path or Column) as a scalar column, default when null."""
+    c = F.col(path) if isinstance(path, str) else path
+    return F.coalesce(metrics.select(c.cast("double")).scalar(), F.lit(float(default)))
 
 
 METRICS_SCHEMA = T.StructType([
