@@ -29,7 +29,8 @@ def alerts(scores: DataFrame, thr: float | F.Column = 0.5, region: str | None =
 def alert_reason(al: DataFrame, reasons: DataFrame | None = None, latency_limit: float = 60.0) -> DataFrame:
     """Model reason where present (non-empty), else the rule: p95 > 60 ms -> high latency, else capacity pressure."""
     if reasons is not None:
-        al = al.join(reasons.select("cell_id", "ts_hour", "top_reasons"), ["cell_id", "ts_hour"], "left")
+        keys = [k for k in ("cell_id", "region", "ts_hour") if k in reasons.columns and k in al.columns]
+        al = al.join(reasons.select(*keys, "top_reasons"), keys, "left")
     else:
         al = al.withColumn("top_reasons", F.lit(None).cast("string"))
     return al.withColumn("reason", F.coalesce(F.nullif(F.col("top_reasons"), F.lit("")),

@@ -257,18 +257,25 @@ def _attr_union(src: str, keys: str) -> str:
         for f, w in W.items())
 
 
-@query("top_reasons", sql(f"""
+cte("reasons", f"""
 SELECT cell_id, region, ts_hour, string_agg(feature, ', ' ORDER BY rn) AS top_reasons
 FROM (SELECT *, row_number() OVER (PARTITION BY cell_id, region, ts_hour ORDER BY a DESC, feature) AS rn
       FROM ({_attr_union("(SELECT * FROM features WHERE ts_hour = (SELECT max(ts_hour) FROM features)) x",
                          "cell_id, region, ts_hour")}) u) r
-WHERE rn <= 3 GROUP BY cell_id, region, ts_hour""", "features"))
-def top_reasons(spark, sf_dir):
-    """Top-3 features by |coef * (x - mean)| for the latest rows."""
+WHERE rn <= 3 GROUP BY cell_id, region, ts_hour""", "features")
+
+
+def reasons_df(spark, sf_dir):
     f = features_df(spark, sf_dir)
     return M.top_reasons(L.latest_hour(f), W, 3, background=f)
 
 
+@query("top_reasons", sql("SELECT * FROM reasons", "reasons"))
+def top_reasons(spark, sf_dir):
+    """Top-3 features by |coef * (x - mean)| for the latest rows."""
+    return reasons_df(spark, sf_dir)
+
+
 @query("global_attribution", sql(f"""
 SELECT feature, round(avg(a), 6) AS importance
 FROM ({_attr_union('''(SELECT * FROM features WHERE ts_hour >= (SELECT quantile_disc(ts_hour, 0.8)
