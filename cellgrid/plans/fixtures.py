@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import layers
-from ..session import materialize
+from ..schemas import GOLD, SILVER
+from ..session import code_fingerprint, input_fingerprint, materialize, materialize_layer
 from ..sources.adapters import bronze_from_events
 
 
@@ -14,13 +17,31 @@ def bronze(spark: SparkSession, sf_dir: str, merge_cells: int | None = None) ->
     return bronze_from_events(spark, sf_dir, merge_cells)
 
 
-def silver(spark: SparkSession, sf_dir: str, merge_cells: int | None = None) -> DataFrame:
-    return layers.silver(bronze(spark, sf_dir, merge_cells))
+def _layer_key(spark: SparkSession, sf_dir: str, *extra) -> str:
+    from ..functions import scalar
+    from ..sources import adapters
+    return "|".join([input_fingerprint(spark, f"{sf_dir}/events.parquet"),
+                     code_fingerprint(layers, adapters, scalar), *map(str, extra)])
+
+
+def silver(spark: SparkSession, sf_dir: str, merge_cells: int | None = None, fresh: bool = False) -> DataFrame:
+    """Silver layer.  Downstream queries read it as a written (date, region) partitioned table, as the
+    batch pipeline does; ``fresh=True`` derives it from the source table in the same plan."""
+    if fresh:
+        return layers.silver(bronze(spark, sf_dir, merge_cells))
+    return materialize_layer(spark, f"silver-m{merge_cells}", _layer_key(spark, sf_dir, merge_cells),
+                             lambda: silver(spark, sf_dir, merge_cells, fresh=True), schema=SILVER)
 
 
 def gold(spark: SparkSession, sf_dir: str, grain: str = "hour", merge_cells: int | None = None,
-         strict_label: bool = False) -> DataFrame:
-    return layers.gold(silver(spark, sf_dir, merge_cells), grain=grain, strict_label=strict_label)
+         strict_label: bool = False, fresh: bool = False) -> DataFrame:
+    """Gold layer at ``grain`` with the next-period label (same convention as ``silver``)."""
+    if fresh:
+        return layers.gold(silver(spark, sf_dir, merge_cells, fresh=True), grain=grain, strict_label=strict_label)
+    name = f"gold-{grain}-m{merge_cells}-s{int(strict_label)}"
+    return materialize_layer(spark, name, _layer_key(spark, sf_dir, merge_cells),
+                             lambda: layers.gold(silver(spark, sf_dir, merge_cells), grain=grain,
+                                                 strict_label=strict_label), schema=GOLD)
 
 
 def risk_expr() -> F.Column:
@@ -40,13 +61,15 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str, k: int = 2) -> DataFrame:
-    from ..operators.graph import neighbor_lattice
-    return materialize(spark, f"edges-k{k}", sf_dir, lambda: neighbor_lattice(cells(spark, sf_dir), k=k))
+    from ..operators import graph, prefix
+    key = _layer_key(spark, sf_dir, k, code_fingerprint(graph, prefix))
+    return materialize(spark, f"edges-k{k}", key, lambda: graph.neighbor_lattice(cells(spark, sf_dir), k=k))
 
 
 def centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.graph import centrality as build
-    return materialize(spark, "centrality", sf_dir, lambda: build(edges(spark, sf_dir)))
+    from ..operators import graph, prefix
+    key = _layer_key(spark, sf_dir, code_fingerprint(graph, prefix))
+    return materialize(spark, "centrality", key, lambda: graph.centrality(edges(spark, sf_dir)))
 
 
 def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +86,10 @@ def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit):
     """Fit once per input folder and keep the model in the shared scratch area."""
     from pyspark.ml import PipelineModel
-    from ..session import _exists, _key, scratch_path
-    path = scratch_path(spark, f"model-{kind}-{_key(kind, sf_dir)}")
+    from ..session import _key, scratch_path
+    from ..operators import features, graph, model as model_mod
+    key = _layer_key(spark, sf_dir, kind, code_fingerprint(features, graph, model_mod))
+    path = scratch_path(spark, f"model-{kind}-{_key(kind, key, os.environ.get('CELLGRID_VERSION', '1'))}")
     jvm = spark.sparkContext._jvm
     jp = jvm.org.apache.hadoop.fs.Path(path + "/metadata")
     if jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp):

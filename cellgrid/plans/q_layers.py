@@ -20,19 +20,19 @@ def scan_bronze(spark, sf_dir):
 @query("silver", sql(rounded(SILVER_COLS, KPIS, "silver"), "silver"))
 def silver(spark, sf_dir):
     """date/hour, region default, quality screen, flags."""
-    return fx.silver(spark, sf_dir)
+    return fx.silver(spark, sf_dir, fresh=True)
 
 
 @query("gold", sql(rounded(GOLD_COLS, GOLD_DOUBLES, "gold"), "gold"))
 def gold(spark, sf_dir):
     """Hourly rollup per (cell, region, hour) with the next-hour label."""
-    return fx.gold(spark, sf_dir, "hour")
+    return fx.gold(spark, sf_dir, "hour", fresh=True)
 
 
 @query("gold_daily", sql(rounded(GOLD_COLS, GOLD_DOUBLES, "gold_day"), "gold_day"))
 def gold_daily(spark, sf_dir):
     """Same rollup at day grain (the series grain used by labels, lags and forecasts)."""
-    return fx.gold(spark, sf_dir, "day")
+    return fx.gold(spark, sf_dir, "day", fresh=True)
 
 
 _STRICT = """
@@ -47,7 +47,7 @@ WINDOW w AS (PARTITION BY cell_id ORDER BY ts_hour, region)"""
 @query("next_anomaly_label", sql(_STRICT, "gold_day_agg"))
 def next_anomaly_label(spark, sf_dir):
     """W1 with both label modes: strict (next row exactly one period later) and row mode."""
-    g = layers.gold(fx.silver(spark, sf_dir), grain="day", label=False)
+    g = layers.gold(fx.silver(spark, sf_dir, fresh=True), grain="day", label=False)
     g = layers.next_anomaly_label(g, strict=True, grain="day")
     g = layers.next_anomaly_label(g, strict=False, out="y_next_row")   # same window spec: one exchange
     return g.select("cell_id", "region", "ts_hour", "anomaly_any", "y_next_anomaly", "y_next_row")

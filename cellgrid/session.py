@@ -70,6 +70,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
 
 
+def input_fingerprint(spark: SparkSession, *paths: str) -> str:
+    """Identify input files by path, length and modification time (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for p in paths:
+        jp = jvm.org.apache.hadoop.fs.Path(p)
+        st = jp.getFileSystem(conf).getFileStatus(jp)
+        parts.append(f"{p}:{st.getLen()}:{st.getModificationTime()}")
+    return "|".join(parts)
+
+
+def code_fingerprint(*modules) -> str:
+    """Hash of the source of the modules that define a materialized table."""
+    import inspect
+    return hashlib.sha1("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:12]
+
+
+def materialize_layer(spark: SparkSession, name: str, source_key: str, build, keys=("date", "region"),
+                      schema=None) -> DataFrame:
+    """Write ``build()`` once as a hive-partitioned layer in the shared scratch area and read it back."""
+    from .sources.readers import read_layer
+    from .sources.sinks import write_layer
+    path = scratch_path(spark, f"{name}-{_key(name, source_key, os.environ.get('CELLGRID_VERSION', '1'))}")
+    if not _exists(spark, path):
+        write_layer(build(), path, keys)
+    return read_layer(spark, path, schema, partitioned=True)
+
+
 def materialize(spark: SparkSession, name: str, source_key: str, build) -> DataFrame:
     """Write ``build()`` once as parquet in the shared scratch area and read it back.
 
