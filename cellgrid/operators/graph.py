@@ -70,14 +70,17 @@ def pagerank(edges: DataFrame, d: float = 0.85, tol: float = 1e-6, max_iter: int
     ranks = deg.select("u", F.lit(1.0 / n).alias("rank"))
     base = (1.0 - d) / n
     for i in range(1, max_iter + 1):
-        contrib = out_w.join(ranks, "u").groupBy(F.col("v").alias("u")).agg(
-            (F.lit(base) + F.lit(d) * F.sum(F.col("rank") * F.col("w"))).alias("rank"))
+        # one aggregate gives the new rank and (through the vertex's own row) the previous one
+        sent = out_w.join(ranks, "u").select(F.col("v").alias("u"), (F.col("rank") * F.col("w")).alias("c"),
+                                             F.lit(None).cast("double").alias("prev"))
+        own = ranks.select("u", F.lit(None).cast("double").alias("c"), F.col("rank").alias("prev"))
+        step = sent.unionByName(own).groupBy("u").agg(
+            (F.lit(base) + F.lit(d) * F.coalesce(F.sum("c"), F.lit(0.0))).alias("rank"), F.max("prev").alias("prev"))
         # cache every round, reliable checkpoint every few rounds to bound recomputation
-        new = contrib.checkpoint(eager=True) if i % CHECKPOINT_EVERY == 0 else contrib.cache()
-        err = new.join(ranks.withColumnRenamed("rank", "old"), "u").agg(
-            F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0]
+        step = step.checkpoint(eager=True) if i % CHECKPOINT_EVERY == 0 else step.cache()
+        err = step.agg(F.sum(F.abs(F.col("rank") - F.col("prev")))).first()[0]
         ranks.unpersist()
-        ranks = new
+        ranks = step.select("u", "rank")
         if err < n * tol:
             break
     adj.unpersist()

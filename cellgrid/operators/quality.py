@@ -54,8 +54,12 @@ def dq_rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
         .withColumnRenamed("_total", "total")
 
 
-def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """One row per difference between the frame's schema and the contract (missing, extra, type)."""
+def schema_drift(df: DataFrame, contract: T.StructType, check_values: bool = False) -> DataFrame:
+    """One row per difference between the frame's schema and the contract (missing, extra, type).
+
+    ``check_values`` adds ``n_unfit``: for changed types, the number of non-null values that do
+    not survive a cast to the contract type (one aggregation pass over the data).
+    """
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = []
     for f in contract.fields:
@@ -69,7 +73,18 @@ def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
         if n not in names:
             rows.append((n, None, t, "extra"))
     spark: SparkSession = df.sparkSession
-    return spark.createDataFrame(rows, "column string, expected string, actual string, status string")
+    out = spark.createDataFrame(rows, "column string, expected string, actual string, status string")
+    if not check_values:
+        return out
+    changed = [(n, f.dataType) for f in contract.fields for n in [f.name]
+               if n in actual and actual[n] != f.dataType.simpleString()]
+    if not changed:
+        return out.withColumn("n_unfit", F.lit(None).cast("long"))
+    counts = df.agg(*[F.count_if(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull()).alias(n)
+                      for n, t in changed])
+    pairs = ", ".join(f"'{n}', `{n}`" for n, _ in changed)
+    long = counts.select(F.expr(f"stack({len(changed)}, {pairs}) AS (column, n_unfit)"))
+    return out.join(long, "column", "left")
 
 
 def required_columns(df: DataFrame, need: list[str]) -> None:

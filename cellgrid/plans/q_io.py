@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ..operators import evaluation as EV
 from ..operators import slices as L
-from ..schemas import EDGES, MART_CELL_HOUR_SCORES, SILVER
+from ..operators import quality as Q
+from ..schemas import EDGES, GOLD_WAREHOUSE, MART_CELL_HOUR_SCORES, SILVER
 from ..session import _key, scratch_path
 from ..sources import readers as R
 from ..sources import sinks as K
@@ -128,3 +129,49 @@ def coerce_types(spark, sf_dir):
     """Coercion to sink types: integers rounded, NULL boolean -> false, bad values -> NULL."""
     g = fx.gold(spark, sf_dir).select(*COERCE_TARGET)
     return K.coerce_types(g, COERCE_TARGET)
+
+
+@query("scan_silver_partitioned", sql(rounded(SILVER_COLS, KPIS, "silver"), "silver"))
+def scan_silver_partitioned(spark, sf_dir):
+    """The written silver layer read by its root; date and region come back from the folder names."""
+    return fx.silver(spark, sf_dir).select(*SILVER_COLS)
+
+
+MART_COLS = [f.name for f in MART_CELL_HOUR_SCORES.fields]
+MART_DOUBLES = ["risk_score", "latency_ms_p95", "prb_util_pct_avg", "sinr_db_avg", "thrpt_mbps_avg"]
+
+
+@query("mart_scores", sql(rounded(MART_COLS, MART_DOUBLES, "scored"), "scored"))
+def mart_scores(spark, sf_dir):
+    """Scores in the mart contract's column order and types."""
+    return to_contract(fx.scored(spark, sf_dir), MART_CELL_HOUR_SCORES)
+
+
+@query("warehouse_view", sql(rounded(MART_COLS, MART_DOUBLES, """(SELECT * FROM scored
+  WHERE ts_hour = (SELECT max(ts_hour) FROM scored) ORDER BY risk_score DESC, cell_id LIMIT 50) t"""), "scored"))
+def warehouse_view(spark, sf_dir):
+    """The "last hour, high risk" view defined in Spark SQL over the published mart table."""
+    K.publish_table(to_contract(fx.scored(spark, sf_dir), MART_CELL_HOUR_SCORES), "mart_cell_hour_scores",
+                    _path(spark, sf_dir, "mart_cell_hour_scores_v"))
+    spark.sql("""
+        CREATE OR REPLACE TEMP VIEW v_last_hour_risk AS
+        WITH h AS (SELECT max(ts_hour) AS ts_hour FROM mart_cell_hour_scores)
+        SELECT s.* FROM mart_cell_hour_scores s JOIN h ON s.ts_hour = h.ts_hour
+        ORDER BY s.risk_score DESC, s.cell_id LIMIT 50""")
+    return spark.table("v_last_hour_risk")
+
+
+_DRIFT = [("n_samples", "int", "bigint", "CAST(n_samples AS INTEGER)", "n_samples"),
+          ("anomaly_any", "tinyint", "int", "CAST(anomaly_any AS TINYINT)", "anomaly_any"),
+          ("hour", "tinyint", "int", "CAST(hour AS TINYINT)", "hour"),
+          ("y_next_anomaly", "tinyint", "int", "CAST(y_next_anomaly AS TINYINT)", "y_next_anomaly")]
+
+
+@query("schema_drift", sql("\nUNION ALL\n".join(
+    [f"""SELECT '{c}' AS "column", '{e}' AS expected, '{a}' AS actual, 'type_changed' AS status,
+  CAST(count_if({x} IS NOT NULL AND TRY_{cast} IS NULL) AS BIGINT) AS n_unfit FROM gold"""
+     for c, e, a, cast, x in _DRIFT]
+    + ["""SELECT 'date', NULL, 'date', 'extra', CAST(NULL AS BIGINT)"""]), "gold"))
+def schema_drift(spark, sf_dir):
+    """Q4: gold against the warehouse contract: changed types (with values that would not fit), extras."""
+    return Q.schema_drift(fx.gold(spark, sf_dir), GOLD_WAREHOUSE, check_values=True)
