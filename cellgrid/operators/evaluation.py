@@ -27,8 +27,8 @@ def auc_roc(df: DataFrame, score: str = "risk_score", label: str = "y_next_anoma
     cnt = score_counts(df, score, label)
     cum = prefix_sums(cnt, [F.col("score").asc()], ["neg"])
     return cum.agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg")))
-         / (F.sum("pos") * F.sum("neg"))).alias("auc_roc"),
+        F.try_divide(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))),
+                     (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc_roc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
@@ -110,6 +110,7 @@ def classification_report(df: DataFrame, score: str = "risk_score", label: str =
         '1', p1, r1, f1, s1,
         'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), acc, tot,
         'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, tot,
-        'weighted avg', (p0 * s0 + p1 * s1) / tot, (r0 * s0 + r1 * s1) / tot, (f0 * s0 + f1 * s1) / tot, tot
+        'weighted avg', try_divide(p0 * s0 + p1 * s1, tot), try_divide(r0 * s0 + r1 * s1, tot),
+        try_divide(f0 * s0 + f1 * s1, tot), tot
       ) AS (label, precision, recall, f1_score, support)"""))
     return rows.withColumn("support", F.col("support").cast("long"))

@@ -29,7 +29,7 @@ def dq_freshness(gold: DataFrame, as_of, max_hours: float = 2.0, max_null: float
     for c in cols:
         name = "null_" + c
         names.append(name)
-        aggs.append((F.count_if(F.col(c).isNull()) / F.count(F.lit(1))).alias(name))
+        aggs.append(F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1))).alias(name))
     one = gold.agg(*aggs)
     hours = F.timestamp_diff("MICROSECOND", F.col("max_ts"), as_of) / F.lit(3.6e9)
     one = one.withColumn("hours_behind", hours)

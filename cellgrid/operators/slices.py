@@ -58,7 +58,9 @@ def series_tail(df: DataFrame, key: str, ts: str, n: int, tiebreak: list[str] |
 
 
 def top_risk(scores: DataFrame, n: int, by: str = "risk_score", key: str = "cell_id") -> DataFrame:
-    return scores.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc()).limit(n)
+    """Top ``n`` by score; ties by cell, then region (a cell can have two region rows in one period)."""
+    ties = [F.col(key).asc()] + ([F.col("region").asc()] if "region" in scores.columns else [])
+    return scores.orderBy(F.col(by).desc_nulls_last(), *ties).limit(n)
 
 
 def last_hour_risk(scores: DataFrame, n: int = 50, ts: str = "ts_hour") -> DataFrame:

@@ -148,7 +148,7 @@ def mart_scores(spark, sf_dir):
 
 
 @query("warehouse_view", sql(rounded(MART_COLS, MART_DOUBLES, """(SELECT * FROM scored
-  WHERE ts_hour = (SELECT max(ts_hour) FROM scored) ORDER BY risk_score DESC, cell_id LIMIT 50) t"""), "scored"))
+  WHERE ts_hour = (SELECT max(ts_hour) FROM scored) ORDER BY risk_score DESC, cell_id, region LIMIT 50) t"""), "scored"))
 def warehouse_view(spark, sf_dir):
     """The "last hour, high risk" view defined in Spark SQL over the published mart table."""
     K.publish_table(to_contract(fx.scored(spark, sf_dir), MART_CELL_HOUR_SCORES), "mart_cell_hour_scores",
@@ -157,7 +157,7 @@ def warehouse_view(spark, sf_dir):
         CREATE OR REPLACE TEMP VIEW v_last_hour_risk AS
         WITH h AS (SELECT max(ts_hour) AS ts_hour FROM mart_cell_hour_scores)
         SELECT s.* FROM mart_cell_hour_scores s JOIN h ON s.ts_hour = h.ts_hour
-        ORDER BY s.risk_score DESC, s.cell_id LIMIT 50""")
+        ORDER BY s.risk_score DESC, s.cell_id, s.region LIMIT 50""")
     return spark.table("v_last_hour_risk")
 
 

@@ -180,14 +180,14 @@ def top10_risk_by_region(spark, sf_dir):
 
 
 @query("top_risk", sql(rounded(SCORE_COLS, SCORE_DOUBLES, f"""(SELECT * FROM {LATEST_SCORED} s
-  ORDER BY risk_score DESC NULLS LAST, cell_id LIMIT 12) t"""), "scored"))
+  ORDER BY risk_score DESC NULLS LAST, cell_id, region LIMIT 12) t"""), "scored"))
 def top_risk(spark, sf_dir):
     """O2: top 12 cells by risk (latest day)."""
     return L.top_risk(scores_plain(spark, sf_dir).select(*SCORE_COLS), 12)
 
 
 @query("last_hour_risk", sql(rounded(SCORE_COLS, SCORE_DOUBLES, f"""(SELECT * FROM {LATEST_SCORED} s
-  ORDER BY risk_score DESC NULLS LAST, cell_id LIMIT 50) t"""), "scored"))
+  ORDER BY risk_score DESC NULLS LAST, cell_id, region LIMIT 50) t"""), "scored"))
 def last_hour_risk(spark, sf_dir):
     """Newest period, highest risk first, 50 rows (the warehouse view)."""
     return L.last_hour_risk(fx.scored(spark, sf_dir).select(*SCORE_COLS), 50)

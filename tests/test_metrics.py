@@ -90,3 +90,11 @@ def test_report_strict_vs_inclusive(spark):
     strict = {r.label: r for r in EV.classification_report(df, threshold=0.5, strict=True).collect()}
     incl = {r.label: r for r in EV.classification_report(df, threshold=0.5, strict=False).collect()}
     assert strict["1"].recall == 0.0 and incl["1"].recall == 1.0
+
+
+def test_single_class_and_empty_inputs_do_not_fail(spark):
+    one = spark.createDataFrame([(0.3, 0), (0.6, 0)], "risk_score double, y_next_anomaly int")
+    assert EV.auc_roc(one).first().auc_roc is None
+    empty = one.limit(0)
+    rep = {r.label: r for r in EV.classification_report(empty).collect()}
+    assert rep["weighted avg"].precision is None and rep["accuracy"].support == 0
