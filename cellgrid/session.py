@@ -40,6 +40,30 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 128,
+                 shuffle_ratio: float = 0.5, max_partitions: int = 100_000) -> dict:
+    """Settings for a cluster run, sized from the input volume.
+
+    Scan splits of ``target_partition_mb``; shuffle partitions so that the shuffled bytes
+    (``shuffle_ratio`` of the input after pruning and partial aggregation) land near the
+    target per partition, at least 2 per core and capped; AQE coalesces small ones and
+    splits skewed ones at runtime.
+    """
+    target = target_partition_mb * 1024 * 1024
+    shuffle = int(min(max_partitions, max(2 * total_cores, input_bytes * shuffle_ratio // target)))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext

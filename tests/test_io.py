@@ -68,3 +68,11 @@ def test_publish_table_and_normalize(spark):
     t = K.publish_table(R.normalize_columns(df), "cellgrid_test_tbl", path)
     assert t.columns == ["x", "y"] and t.count() == 1
     assert R.project_present(t, ["y", "zz", "x"]).columns == ["y", "x"]
+
+
+def test_cluster_conf_sizes_partitions():
+    from cellgrid.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    small = cluster_conf(10 * 1024 ** 3, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128         # 2 per core floor
