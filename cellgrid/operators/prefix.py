@@ -26,6 +26,8 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: list[str], prefix: str
     ``order`` must be a total order (add tie-break keys) when the result has to be deterministic.
     """
     n = _n_parts(df, num_partitions)
+    # an explicit partition count makes this a REPARTITION_BY_NUM shuffle, which AQE never coalesces,
+    # so spark_partition_id() is the range index in both branches below (and the exchange is reused)
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in sums])
