@@ -83,13 +83,17 @@ def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "neighbor_degree", "pagerank", "betweenness")
 
 
-def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit):
-    """Fit once per input folder and keep the model in the shared scratch area."""
-    from pyspark.ml import PipelineModel
+def risk_model_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
     from ..session import _key, scratch_path
     from ..operators import features, graph, model as model_mod
     key = _layer_key(spark, sf_dir, kind, code_fingerprint(features, graph, model_mod))
-    path = scratch_path(spark, f"model-{kind}-{_key(kind, key, os.environ.get('CELLGRID_VERSION', '1'))}")
+    return scratch_path(spark, f"model-{kind}-{_key(kind, key, os.environ.get('CELLGRID_VERSION', '1'))}")
+
+
+def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit):
+    """Fit once per input folder and keep the model in the shared scratch area."""
+    from pyspark.ml import PipelineModel
+    path = risk_model_path(spark, sf_dir, kind)
     jvm = spark.sparkContext._jvm
     jp = jvm.org.apache.hadoop.fs.Path(path + "/metadata")
     if jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp):

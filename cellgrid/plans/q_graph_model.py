@@ -328,3 +328,26 @@ def model_auc_roc(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     model = fx.risk_model(spark, sf_dir, "gbt", lambda: M.fit_risk_model(train, ALL_FEATURES, "gbt"))
     return EV.auc_roc(M.score(model, test))
+
+
+def _gbt(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = fx.risk_model(spark, sf_dir, "gbt", lambda: M.fit_risk_model(train, ALL_FEATURES, "gbt"))
+    return model, fx.risk_model_path(spark, sf_dir, "gbt"), test
+
+
+@query("top_reasons_model")
+def top_reasons_model(spark, sf_dir):
+    """M9: top-3 features by |tree path attribution| of the boosted trees, latest period."""
+    from ..operators import attribution as AT
+    _, path, _ = _gbt(spark, sf_dir)
+    att = AT.tree_attributions(path, L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
+    return AT.top_attributed(att, ALL_FEATURES, 3)
+
+
+@query("global_attribution_model")
+def global_attribution_model(spark, sf_dir):
+    """Mean |tree path attribution| per feature over all test rows."""
+    from ..operators import attribution as AT
+    _, path, test = _gbt(spark, sf_dir)
+    return AT.mean_abs_attribution(AT.tree_attributions(path, test, ALL_FEATURES), ALL_FEATURES)
