@@ -43,34 +43,33 @@ def naive_forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, s
 # ---- per-series NumPy fits (run inside applyInPandas) ------------------------------------
 
 def _hw_fit(y: np.ndarray, m: int, horizon: int):
-    """Additive trend + additive season Holt-Winters, smoothing constants by grid search on SSE."""
+    """Additive trend + additive season Holt-Winters, smoothing constants by grid search on SSE.
+
+    All grid points run together: one NumPy step per time point over the whole grid.
+    """
     n = len(y)
     if n < 2 * m:
         raise ValueError("need two full seasons")
-    grid = (0.1, 0.3, 0.5, 0.8)
-    best = None
-    l0 = y[:m].mean()
-    b0 = (y[m:2 * m].mean() - y[:m].mean()) / m
-    s0 = y[:m] - l0
-    for a in grid:
-        for b in (0.01, 0.1, 0.3):
-            for g in (0.05, 0.2, 0.5):
-                lev, tr, sea = l0, b0, list(s0)
-                fitted = np.empty(n)
-                for t in range(n):
-                    s_prev = sea[t]
-                    fitted[t] = lev + tr + s_prev
-                    new_l = a * (y[t] - s_prev) + (1 - a) * (lev + tr)
-                    tr = b * (new_l - lev) + (1 - b) * tr
-                    lev = new_l
-                    sea.append(g * (y[t] - lev) + (1 - g) * s_prev)
-                sse = float(np.sum((fitted - y) ** 2))
-                if best is None or sse < best[0]:
-                    best = (sse, lev, tr, sea, fitted)
-    sse, lev, tr, sea, fitted = best
+    grid = np.array([(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.1, 0.3) for g in (0.05, 0.2, 0.5)])
+    a, b, g = grid[:, 0], grid[:, 1], grid[:, 2]
+    k = len(grid)
+    lev = np.full(k, y[:m].mean())
+    tr = np.full(k, (y[m:2 * m].mean() - y[:m].mean()) / m)
+    sea = np.empty((k, n + m))
+    sea[:, :m] = y[:m] - y[:m].mean()
+    fitted = np.empty((k, n))
+    for t in range(n):
+        s_prev = sea[:, t]
+        fitted[:, t] = lev + tr + s_prev
+        new_l = a * (y[t] - s_prev) + (1 - a) * (lev + tr)
+        tr = b * (new_l - lev) + (1 - b) * tr
+        lev = new_l
+        sea[:, t + m] = g * (y[t] - lev) + (1 - g) * s_prev
+    sse = np.sum((fitted - y) ** 2, axis=1)
+    j = int(np.argmin(sse))
     h = np.arange(1, horizon + 1)
-    pred = lev + h * tr + np.array([sea[n + (i - 1) % m] for i in h])
-    rmse = float(np.sqrt(np.mean((fitted - y) ** 2)))
+    pred = lev[j] + h * tr[j] + sea[j, n + (h - 1) % m]
+    rmse = float(np.sqrt(np.mean((fitted[j] - y) ** 2)))
     return pred, rmse
 
 
@@ -158,11 +157,15 @@ def make_forecaster(key: str, horizon: int, step: str, methods: tuple[str, ...],
 
 def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: str = "hour",
              methods: tuple[str, ...] = ("fourier", "hw", "naive"), season: int = 24, hist: int = 24,
-             bounds: tuple[float, float] | None = None, region: DataFrame | None = None) -> DataFrame:
+             bounds: tuple[float, float] | None = None, min_points: int = 0) -> DataFrame:
     """Fit each series with the first method that succeeds, stack the observed tail and the forecast.
 
-    ``series`` is (key, ds, y) on a regular grid (see ``series.interpolate``).
+    ``series`` is (key, ds, y) on a regular grid (see ``series.interpolate``).  Series with fewer
+    than ``min_points`` points are not fitted (``series.short_series`` lists them).
     """
+    from .series import long_enough
+    if min_points:
+        series = long_enough(series, min_points, key)
     fit = make_forecaster(key, horizon, step, methods, season, bounds)
     fc = series.select(key, "ds", "y").groupBy(key).applyInPandas(fit, FC_SCHEMA.format(key=key))
     return forecast_frame(series, fc, key, hist)

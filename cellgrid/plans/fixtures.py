@@ -40,8 +40,8 @@ def gold(spark: SparkSession, sf_dir: str, grain: str = "hour", merge_cells: int
         return layers.gold(silver(spark, sf_dir, merge_cells, fresh=True), grain=grain, strict_label=strict_label)
     name = f"gold-{grain}-m{merge_cells}-s{int(strict_label)}"
     return materialize_layer(spark, name, _layer_key(spark, sf_dir, merge_cells),
-                             lambda: layers.gold(silver(spark, sf_dir, merge_cells), grain=grain,
-                                                 strict_label=strict_label), schema=GOLD)
+                             lambda: layers.gold(silver(spark, sf_dir, merge_cells, fresh=merge_cells is not None),
+                                                 grain=grain, strict_label=strict_label), schema=GOLD)
 
 
 def risk_expr() -> F.Column:

@@ -152,17 +152,34 @@ def forecast_summary(spark, sf_dir):
     return FC.forecast_summary(frame_df(spark, sf_dir))
 
 
+def prb_model_series(spark, sf_dir):
+    """PRB series prepared as for model fitting: values bounded to 0..100, hourly grid, winsorised."""
+    g = fx.gold(spark, sf_dir, "hour", merge_cells=12)
+    g = SE.bounded(g, ["prb_util_pct_avg"], *BOUNDS)
+    s = SE.interpolate(g, "cell_id", "ts_hour", "prb_util_pct_avg", "hour")
+    return SE.winsorize(s.drop("observed"), "cell_id", "y", 0.01, 0.99).drop("p_lo", "p_hi")
+
+
 @query("forecast_hw")
 def forecast_hw(spark, sf_dir):
     """additive Holt-Winters (season 24) per merged cell, fallback to naive; bounded 0..100."""
-    return FC.forecast(hourly_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("hw", "naive"), 24, 24, BOUNDS)
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("hw", "naive"), 24, 24,
+                       BOUNDS, min_points=24)
 
 
 @query("forecast_fourier")
 def forecast_fourier(spark, sf_dir):
     """trend + daily/weekly Fourier terms on a logit scale, fallback chain hw -> naive."""
-    return FC.forecast(hourly_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("fourier", "hw", "naive"), 24, 24,
-                       BOUNDS)
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("fourier", "hw", "naive"), 24,
+                       24, BOUNDS, min_points=24)
+
+
+@query("forecast_latency")
+def forecast_latency(spark, sf_dir):
+    """F4/F5 for latency p95: trend + weekly/daily Fourier terms, Holt-Winters fallback, 24 h ahead, 48 h shown."""
+    s = SE.interpolate(fx.gold(spark, sf_dir, "hour", merge_cells=12), "cell_id", "ts_hour", "latency_ms_p95",
+                       "hour")
+    return FC.forecast(s, "cell_id", 24, "hour", ("fourier", "hw"), 24, 48, None, min_points=24)
 
 
 # ---- alert triage on the latest scores (risk >= 0.5) ----
