@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalar import trunc_ntz
 from ..operators.layers import silver
 from ..schemas import GOLD_AVG
 from ..sources.adapters import events_to_bronze
@@ -27,19 +28,23 @@ def silver_stream(spark: SparkSession, source_dir: str, max_files: int = 16) ->
 
 
 def gold_stream(silver_df: DataFrame, lateness: str = "2 hours", accuracy: int = 10000) -> DataFrame:
-    """Hourly rollup per (cell, region) on event time; ``withWatermark`` needs TIMESTAMP, so cast the NTZ column."""
-    s = silver_df.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", lateness)
+    """Hourly rollup per (cell, region) on event time.
+
+    ``withWatermark`` needs TIMESTAMP; the NTZ wall clock (UTC) is turned into the same instant via
+    its microseconds since the epoch, so windows align with UTC hours whatever the session time zone.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    s = (silver_df.withColumn("event_time", F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("ts"))))
+         .withColumn("ts_hour", trunc_ntz("ts", "hour"))
+         .withWatermark("event_time", lateness))
     aggs = [F.count(F.lit(1)).alias("n_samples"),
             F.avg("latency_ms").alias("latency_ms_avg"),
             F.percentile_approx("latency_ms", 0.95, accuracy).alias("latency_ms_p95")]
     aggs += [F.avg(src).alias(name) for name, src in GOLD_AVG[1:]]
     aggs += [F.avg(F.col("anomaly_flag").cast("double")).alias("anomaly_rate"),
              F.max("anomaly_flag").alias("anomaly_any")]
-    g = s.groupBy(F.window("event_time", "1 hour").alias("w"), "cell_id", "region").agg(*aggs)
-    ts_hour = F.col("w.start").cast("timestamp_ntz")
-    return g.select("cell_id", "region", ts_hour.alias("ts_hour"), *[a for a in g.columns if a not in
-                                                                       ("w", "cell_id", "region")]) \
-        .withColumn("date", F.to_date("ts_hour")).withColumn("hour", F.hour("ts_hour"))
+    g = s.groupBy(F.window("event_time", "1 hour").alias("w"), "cell_id", "region", "ts_hour").agg(*aggs)
+    return g.drop("w").withColumn("date", F.to_date("ts_hour")).withColumn("hour", F.hour("ts_hour"))
 
 
 def start_gold(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
