@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import forecast as FC
 from ..operators import series as SE
 from ..operators import triage as TR
@@ -47,9 +49,12 @@ def hourly_series(spark, sf_dir):
                           "prb_util_pct_avg", "hour")
 
 
-def daily_series(spark, sf_dir):
-    """Daily PRB series per cell, on a regular grid."""
-    return SE.interpolate(fx.gold(spark, sf_dir, "day"), "cell_id", "ts_hour", "prb_util_pct_avg", "day")
+def daily_series(spark, sf_dir, region: str | None = None):
+    """Daily PRB series per cell, on a regular grid; ``region`` filters the partitioned layer first."""
+    g = fx.gold(spark, sf_dir, "day")
+    if region is not None:
+        g = g.filter(g.region == region)
+    return SE.interpolate(g, "cell_id", "ts_hour", "prb_util_pct_avg", "day")
 
 
 @query("interpolate_hourly", sql(rounded(["cell_id", "ds", "y", "observed"], ["y"], "interp12"), "interp12"))
@@ -78,18 +83,25 @@ def _clip_sql(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE least(greatest({x}, 0.0), 100.0) END"
 
 
-cte("naive", f"""
+def _naive_ctes(naive: str, frame: str, src: str) -> None:
+    cte(naive, f"""
 SELECT cell_id, last_ds + i * INTERVAL 1 DAY AS ds, {_clip_sql('yhat')} AS yhat,
   {_clip_sql('yhat - 1.28 * sd')} AS yhat_lower, {_clip_sql('yhat + 1.28 * sd')} AS yhat_upper,
   'naive_last' AS model
 FROM (SELECT cell_id, arg_max(y, ds) AS yhat, max(ds) AS last_ds, coalesce(stddev_samp(y), 0.0) AS sd
-      FROM interp_day GROUP BY cell_id) l, range(1, {HORIZON + 1}) r(i)""", "interp_day")
-cte("fc_frame", f"""
+      FROM {src} GROUP BY cell_id) l, range(1, {HORIZON + 1}) r(i)""", src)
+    cte(frame, f"""
 SELECT cell_id, ds, y, CAST(NULL AS DOUBLE) AS yhat, CAST(NULL AS DOUBLE) AS yhat_lower,
   CAST(NULL AS DOUBLE) AS yhat_upper, 'observed' AS model
-FROM interp_day QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ds DESC) <= {HIST_DAYS}
+FROM {src} QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ds DESC) <= {HIST_DAYS}
 UNION ALL
-SELECT cell_id, ds, CAST(NULL AS DOUBLE), yhat, yhat_lower, yhat_upper, model FROM naive""", "interp_day", "naive")
+SELECT cell_id, ds, CAST(NULL AS DOUBLE), yhat, yhat_lower, yhat_upper, model FROM {naive}""", src, naive)
+
+
+_naive_ctes("naive", "fc_frame", "interp_day")
+cte("gold_day_dfw", "SELECT * FROM gold_day WHERE region = 'dfw'", "gold_day")
+_interp_ctes("interp_day_dfw", "gold_day_dfw", "day")
+_naive_ctes("naive_dfw", "fc_frame_dfw", "interp_day_dfw")
 FC_COLS = ["cell_id", "ds", "y", "yhat", "yhat_lower", "yhat_upper", "model"]
 FC_DOUBLES = ["y", "yhat", "yhat_lower", "yhat_upper"]
 
@@ -118,6 +130,15 @@ cte("breach", f"""SELECT cell_id, count_if(yhat_upper >= 85) / {float(HORIZON)}
 FROM fc_frame WHERE model <> 'observed' GROUP BY cell_id""", "fc_frame")
 
 
+@query("forecast_region", sql(rounded(FC_COLS + ["region"], FC_DOUBLES, "(SELECT *, 'dfw' AS region FROM fc_frame_dfw) t"),
+                              "fc_frame_dfw"))
+def forecast_region(spark, sf_dir):
+    """One region's forecast frame; the region is really filtered (partition pruning) and stamped."""
+    s = daily_series(spark, sf_dir, "dfw")
+    fc = FC.naive_forecast(s, "cell_id", HORIZON, "day", z=FC.Z80, bounds=BOUNDS)
+    return FC.forecast_frame(s, fc, "cell_id", HIST_DAYS).withColumn("region", F.lit("dfw"))
+
+
 @query("breach_probability", sql("SELECT cell_id, round(p_breach, 6) AS p_breach FROM breach", "breach"))
 def breach_probability(spark, sf_dir):
     """Share of the 12 forecast steps whose upper band reaches 85%."""
