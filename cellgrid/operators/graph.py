@@ -174,35 +174,15 @@ def _betweenness_broadcast(adj: DataFrame, normalized: bool = True) -> DataFrame
         "cell_id", (F.coalesce(F.col("b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 
 
-def _betweenness_bfs(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
-                     seed: int = 7) -> DataFrame:
-    """Brandes betweenness (unweighted, undirected) as level-synchronous BFS over DataFrames.
+MAX_STATE_PAIRS = 2_000_000_000  # (source, vertex) pairs held per batch on the distributed path
 
-    Forward: level frames (source, vertex, sigma) grown by one hop per round; a new
-    vertex is a neighbour of level d that is neither in level d nor d-1 (BFS layers),
-    so no global visited set is joined.  Backward: dependencies flow from level d+1
-    to predecessors at level d.  State is (source, vertex) pairs, i.e. V x component
-    size; ``source_fraction`` switches to sampled sources scaled by n/s (Brandes and
-    Pich 2007) for graphs where that is too large.  Default is exact (all sources).
-    Result is normalised by 1/((n-1)(n-2)) over ordered pairs, as the reference does.
-    """
-    ensure_checkpoint_dir(edges.sparkSession)
-    adj = undirected(edges).cache()
-    verts = adj.select(F.col("u").alias("v")).distinct().cache()
-    n = verts.count()
-    sources = verts
-    scale_k = 1.0
-    if source_fraction is not None and source_fraction < 1.0:
-        sources = verts.sample(False, source_fraction, seed)
-        s_n = sources.count()
-        scale_k = n / s_n if s_n else 0.0
-    # level 0
+
+def _dependencies(sources: DataFrame, adj: DataFrame) -> DataFrame | None:
+    """Brandes dependencies summed per vertex for one batch of sources: (v, b), or None if no paths."""
     level = sources.select(F.col("v").alias("s"), F.col("v"), F.lit(1.0).alias("sigma")).checkpoint(eager=True)
     levels = [level]
     prev = None
-    depth = 0
     while True:
-        depth += 1
         step = (level.join(adj.select(F.col("u").alias("v"), F.col("v").alias("w")), "v")
                 .groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma")))
         step = step.join(level.select("s", "v"), ["s", "v"], "left_anti")
@@ -229,14 +209,53 @@ def _betweenness_bfs(edges: DataFrame, normalized: bool = True, source_fraction:
         if d % CHECKPOINT_EVERY == 0:
             total = total.groupBy("v").agg(F.sum("b").alias("b")).checkpoint(eager=True)
         nxt = cur
+    return total
+
+
+def _betweenness_bfs(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
+                     seed: int = 7, max_pairs: int = MAX_STATE_PAIRS) -> DataFrame:
+    """Brandes betweenness (unweighted, undirected) as level-synchronous BFS over DataFrames.
+
+    Forward: level frames (source, vertex, sigma) grown by one hop per round; a new
+    vertex is a neighbour of level d that is neither in level d nor d-1 (BFS layers),
+    so no global visited set is joined.  Backward: dependencies flow from level d+1
+    to predecessors at level d.  Sources are processed in hash batches so that at most
+    ``max_pairs`` (source, vertex) pairs are alive at once; the sum over batches is
+    still exact.  ``source_fraction`` switches to sampled sources scaled by n/s (Brandes
+    and Pich 2007) as an explicit approximation.  Normalised by 1/((n-1)(n-2)) over
+    ordered pairs, as the reference does.
+    """
+    ensure_checkpoint_dir(edges.sparkSession)
+    adj = undirected(edges).cache()
+    verts = adj.select(F.col("u").alias("v")).distinct().cache()
+    n = verts.count()
+    sources = verts
+    scale_k = 1.0
+    s_n = n
+    if source_fraction is not None and source_fraction < 1.0:
+        sources = verts.sample(False, source_fraction, seed)
+        s_n = sources.count()
+        scale_k = n / s_n if s_n else 0.0
+    batches = max(1, -(-(s_n * n) // max_pairs))
+    parts = []
+    for b in range(batches):
+        src = sources if batches == 1 else sources.filter(F.pmod(F.xxhash64("v"), F.lit(batches)) == b)
+        dep = _dependencies(src, adj)
+        if dep is not None:
+            parts.append(dep.groupBy("v").agg(F.sum("b").alias("b")).checkpoint(eager=True))
     scale = 1.0
     if normalized and n > 2:
         scale = 1.0 / ((n - 1) * (n - 2))
     elif not normalized:
         scale = 0.5
     scale *= scale_k
-    sums = (total.groupBy("v").agg(F.sum("b").alias("b")) if total is not None
-            else verts.select("v", F.lit(0.0).alias("b")).limit(0))
+    if parts:
+        allp = parts[0]
+        for p_ in parts[1:]:
+            allp = allp.unionByName(p_)
+        sums = allp.groupBy("v").agg(F.sum("b").alias("b"))
+    else:
+        sums = verts.select("v", F.lit(0.0).alias("b")).limit(0)
     out = verts.join(sums, "v", "left").select(
         F.col("v").alias("cell_id"), (F.coalesce(F.col("b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
     return out

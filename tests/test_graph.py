@@ -84,3 +84,10 @@ def test_sampled_betweenness_is_scaled(edges):
     exact = {r.cell_id: r.betweenness for r in graph.betweenness(edges).collect()}
     full = {r.cell_id: r.betweenness for r in graph.betweenness(edges, source_fraction=0.999999).collect()}
     assert exact.keys() == full.keys()
+
+
+def test_batched_sources_are_exact(edges):
+    one = {r.cell_id: r.betweenness for r in graph._betweenness_bfs(edges).collect()}
+    three = {r.cell_id: r.betweenness for r in graph._betweenness_bfs(edges, max_pairs=50).collect()}
+    assert one.keys() == three.keys()
+    assert all(abs(one[k] - three[k]) < 1e-12 for k in one)
