@@ -63,10 +63,11 @@ def save_model(model: PipelineModel, path: str) -> None:
 def linear_attributions(df: DataFrame, weights: dict[str, float], background: DataFrame | None = None) -> DataFrame:
     """Exact attributions of a linear score: coef * (x - mean(x)), means over ``background`` (default: df).
 
-    The means are one-row scalar subqueries (Spark merges them into a single job).
+    All means come from one aggregate, used as a single struct-valued scalar subquery
+    (one pass over the background rows, however many features).
     """
     bg = df if background is None else background
-    means = {f: bg.select(F.avg(f)).scalar() for f in weights}
+    means = bg.select(F.struct(*[F.avg(f).alias(f) for f in weights]).alias("m")).scalar()
     return df.withColumns({f"attr_{f}": F.lit(float(w)) * (F.col(f) - means[f]) for f, w in weights.items()})
 
 

@@ -1,8 +1,8 @@
 """Alert triage: threshold, reasons, priority = risk x forecast x graph position, export.
 
 The min/max used to scale centrality are taken over the alert rows (after the
-threshold), as the reference does; they are scalar subqueries, merged by Spark
-into one aggregate job, so no global window or cross join is planned.
+threshold), as the reference does; they come from one aggregate used as a
+struct-valued scalar subquery, so no global window or cross join is planned.
 """
 
 from __future__ import annotations
@@ -48,9 +48,11 @@ def alert_priority(al: DataFrame, p_breach: DataFrame | None) -> DataFrame:
         if c not in al.columns:
             al = al.withColumn(c, F.lit(0.0))
         al = al.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
-    stats = {c: (al.select(F.min(c)).scalar(), al.select(F.max(c)).scalar())
-             for c in ("neighbor_degree", "pagerank", "betweenness")}
-    al = al.withColumns({f"{c}_z": minmax_scaled(c, lo, hi) for c, (lo, hi) in stats.items()})
+    cols = ("neighbor_degree", "pagerank", "betweenness")
+    # one aggregate over the alert rows, used as a single struct-valued scalar subquery
+    st = al.select(F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols],
+                            *[F.max(c).alias(f"hi_{c}") for c in cols]).alias("s")).scalar()
+    al = al.withColumns({f"{c}_z": minmax_scaled(c, st[f"lo_{c}"], st[f"hi_{c}"]) for c in cols})
     graph = (G_PAGERANK * F.col("pagerank_z") + G_BETWEENNESS * F.col("betweenness_z")
              + G_DEGREE * F.col("neighbor_degree_z"))
     return al.withColumn("priority", W_RISK * F.col("risk_score") + W_FORECAST * F.col("p_breach")
