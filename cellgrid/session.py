@@ -1,8 +1,9 @@
 """Session construction and the shared scratch area.
 
-Intermediate tables (edges, centrality, round-trip sinks) are written under the
-folder the cluster names in ``spark.checkpoint.dir``.  Only when that setting is
-absent (unit tests, a laptop) do we pick a local folder ourselves.
+Intermediate tables (layers, edges, centrality, models, round-trip sinks) are
+written under the application's checkpoint folder, inside the folder the cluster
+names in ``spark.checkpoint.dir``.  Only when that setting is absent in local mode
+(unit tests, a laptop) do we pick a local folder ourselves.
 """
 
 from __future__ import annotations
@@ -129,7 +130,8 @@ def materialize(spark: SparkSession, name: str, source_key: str, build) -> DataF
     """Write ``build()`` once as parquet in the shared scratch area and read it back.
 
     Used to cut lineage of iterative results (graph metrics) and to share them
-    between queries.  ``source_key`` identifies the inputs (e.g. the sf folder).
+    between queries.  ``source_key`` identifies the inputs and the code that builds the
+    table (see ``input_fingerprint`` / ``code_fingerprint``).
     """
     path = scratch_path(spark, f"{name}-{_key(name, source_key, os.environ.get('CELLGRID_VERSION', '1'))}")
     if not _exists(spark, path):
