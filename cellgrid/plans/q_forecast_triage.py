@@ -282,3 +282,25 @@ def alerts_export(spark, sf_dir):
               "reason string")
     return R.read_csv(spark, path, schema)
 
+
+
+@query("alerts_model")
+def alerts_model(spark, sf_dir):
+    """P16/T1/T2 end to end with the fitted boosted trees: latest scores, threshold = the model's best-F1
+    operating point on the test rows, priority with breach probability and graph position, tree reasons."""
+    from ..operators import attribution as AT
+    from ..operators import evaluation as EV
+    from ..operators import model as M
+    from ..operators import slices as L
+    from ..schemas import ALL_FEATURES
+    from .q_graph_model import _gbt, features_df
+    model, path, test = _gbt(spark, sf_dir)
+    thr = EV.operating_point(M.score(model, test)).select("threshold").first()[0]  # one number
+    latest = L.latest_hour(features_df(spark, sf_dir))
+    gold_cols = fx.gold(spark, sf_dir, "day").select("cell_id", "region", "ts_hour", "latency_ms_p95",
+                                                      "prb_util_pct_avg", "sinr_db_avg", "thrpt_mbps_avg")
+    scores = (M.score(model, latest).select("cell_id", "region", "ts_hour", "risk_score", "neighbor_degree",
+                                            "pagerank", "betweenness")
+              .join(gold_cols, ["cell_id", "region", "ts_hour"], "left"))
+    reasons = AT.top_attributed(AT.tree_attributions(path, latest, ALL_FEATURES), ALL_FEATURES, 3)
+    return TR.alerts_table(scores, thr, p_breach_df(spark, sf_dir), reasons)
