@@ -39,8 +39,8 @@ def pr_curve(df: DataFrame, score: str = "risk_score", label: str = "y_next_anom
     which makes the trapezoid area a plain sum.
     """
     cnt = score_counts(df, score, label)
-    cum = prefix_sums(cnt, [F.col("score").desc()], ["pos", "neg"])
-    total_pos = cnt.select(F.sum("pos")).scalar()
+    cum = prefix_sums(cnt, [F.col("score").desc()], ["pos", "neg"], totals=True)
+    total_pos = F.col("total_pos")
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     ptp, pfp = tp - F.col("pos"), fp - F.col("neg")
     recall = F.when(total_pos == 0, F.lit(1.0)).otherwise(tp / total_pos)

@@ -60,9 +60,8 @@ def time_cutoff(df: DataFrame, ts: str = "ts_hour", frac: float = 0.8) -> DataFr
     distinct timestamps, so no task ever holds all values.
     """
     per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    cum = prefix_sums(per_ts, [F.col(ts).asc()], ["n"])
-    return cum.filter(F.col("cum_n") >= F.lit(frac) * total).agg(F.min(ts).alias("cutoff"))
+    cum = prefix_sums(per_ts, [F.col(ts).asc()], ["n"], totals=True)
+    return cum.filter(F.col("cum_n") >= F.lit(frac) * F.col("total_n")).agg(F.min(ts).alias("cutoff"))
 
 
 def time_split(df: DataFrame, ts: str = "ts_hour", frac: float = 0.8) -> DataFrame:

@@ -20,10 +20,12 @@ def _n_parts(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def prefix_sums(df: DataFrame, order: list[Column], sums: list[str], prefix: str = "cum_",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, totals: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = inclusive running sum of ``c`` in the global ``order``.
 
     ``order`` must be a total order (add tie-break keys) when the result has to be deterministic.
+    ``totals`` also adds ``total_<c>`` (grand total), taken from the per-partition totals at no
+    extra pass over the data.
     """
     n = _n_parts(df, num_partitions)
     # an explicit partition count makes this a REPARTITION_BY_NUM shuffle, which AQE never coalesces,
@@ -33,11 +35,15 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: list[str], prefix: str
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in sums])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])
     w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    w_all = Window.partitionBy(F.lit(0))                                       # same bounded frame
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
-                                      for c in sums])
+                                      for c in sums],
+                            *[F.sum(f"_tot_{c}").over(w_all).alias(f"_all_{c}") for c in sums])
     out = local.join(F.broadcast(offsets), "_pid")
     keep = [c for c in df.columns]
-    return out.select(*keep, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in sums])
+    extra = [F.col(f"_all_{c}").alias(f"total_{c}") for c in sums] if totals else []
+    return out.select(*keep, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{prefix}{c}") for c in sums],
+                      *extra)
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_idx",
