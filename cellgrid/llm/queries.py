@@ -80,8 +80,8 @@ item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDE
 win AS (SELECT DISTINCT item_id, least(len(w), {decontaminate.WINDOW}) AS n, array_to_string(w[i:i + least(len(w), {decontaminate.WINDOW}) - 1], ' ') AS win
         FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - {decontaminate.WINDOW - 1}, 1))) AS i FROM item WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
-at AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM doc, sizes WHERE len(w) >= n)),
-hit AS (SELECT r, item_id, at.n, p FROM at JOIN win USING (n, win)),
+pos AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS win FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM doc, sizes WHERE len(w) >= n)),
+hit AS (SELECT r, item_id, pos.n, p FROM pos JOIN win USING (n, win)),
 covered AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(generate_series(p, p + n - 1)) AS q FROM hit) GROUP BY r),
 items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
