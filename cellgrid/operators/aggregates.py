@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .slices import on_latest_date
+
 
 def top_cells_by_anomaly(silver: DataFrame, n: int = 10) -> DataFrame:
     """Mean flag / latency / PRB per cell, highest anomaly mean first (nulls last)."""
@@ -36,8 +38,8 @@ def slo_daily(gold: DataFrame, prb: float = 85.0, p95: float = 60.0, drop: float
 
 
 def slo_latest(gold: DataFrame, **kw) -> DataFrame:
-    """The last date's SLO row (the panel value)."""
-    daily = slo_daily(gold, **kw)
+    """The last date's SLO row (the panel value); on a ``date`` partitioned layer only that date is read."""
+    daily = slo_daily(on_latest_date(gold), **kw)
     return daily.filter(F.col("date") == daily.select(F.max("date")).scalar())
 
 
@@ -46,9 +48,15 @@ def series_coverage(gold: DataFrame, key: str = "cell_id", ts: str = "ts_hour")
 
 
 def cell_counts(gold: DataFrame, approx: bool = False) -> DataFrame:
-    cells = F.approx_count_distinct("cell_id") if approx else F.countDistinct("cell_id")
-    return gold.agg(F.count(F.lit(1)).alias("n_rows"), cells.alias("n_cells"),
-                    F.countDistinct("region").alias("n_regions"))
+    if approx:
+        return gold.agg(F.count(F.lit(1)).alias("n_rows"), F.approx_count_distinct("cell_id").alias("n_cells"),
+                        F.countDistinct("region").alias("n_regions"))
+    # one row per cell, then per region: two distincts in one aggregate would copy every row for each
+    pairs = gold.groupBy("region", "cell_id").agg(F.count(F.lit(1)).alias("n"))
+    cells = pairs.groupBy("cell_id").agg(F.sum("n").alias("n"))
+    regions = gold.select("region").distinct().select(F.count("region")).scalar()
+    return cells.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"), F.count("cell_id").alias("n_cells")).withColumn(
+        "n_regions", regions)
 
 
 def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:

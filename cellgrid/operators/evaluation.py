@@ -2,7 +2,8 @@
 
 Rows are first reduced to one row per distinct score (positives, negatives) with a
 partial aggregate; running sums over the distinct scores use the range-partitioned
-prefix helper, so no step needs a single-partition window.
+prefix helper, which stores that reduced frame once, so no step needs a single-partition
+window and the scored plan runs once for each metric.
 """
 
 from __future__ import annotations

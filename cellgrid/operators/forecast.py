@@ -19,6 +19,18 @@ from .slices import series_tail
 
 Z80 = 1.28  # fixed value: two-sided 80% band half-width in standard deviations
 
+#: model tags of rows that are no prediction: the observed tail, and a series that no method could fit
+OBSERVED, REJECTED = "observed", "rejected"
+
+
+class TooShort(ValueError):
+    """The series has too few points for the method, or its fit is not finite; the next method is tried."""
+
+
+def predicted(model: str = "model") -> F.Column:
+    return ~F.col(model).isin(OBSERVED, REJECTED)
+
+
 FC_SCHEMA = "{key} string, ds timestamp_ntz, yhat double, yhat_lower double, yhat_upper double, model string"
 
 
@@ -49,7 +61,7 @@ def _hw_fit(y: np.ndarray, m: int, horizon: int):
     """
     n = len(y)
     if n < 2 * m:
-        raise ValueError("need two full seasons")
+        raise TooShort("need two full seasons")
     grid = np.array([(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.1, 0.3) for g in (0.05, 0.2, 0.5)])
     a, b, g = grid[:, 0], grid[:, 1], grid[:, 2]
     k = len(grid)
@@ -81,14 +93,19 @@ def _fourier_design(t: np.ndarray, periods: list[tuple[float, int]]) -> np.ndarr
     return np.column_stack(cols)
 
 
-def _fourier_fit(y: np.ndarray, horizon: int, season: int, order: int, bounded: tuple[float, float] | None):
-    """Linear trend + Fourier seasonality by least squares; bounded targets fit on a logit scale."""
+def _fourier_fit(y: np.ndarray, horizon: int, season: int, order: int, bounded: tuple[float, float] | None,
+                 weekly: bool = False):
+    """Linear trend + Fourier seasonality by least squares; bounded targets fit on a logit scale.
+
+    ``weekly`` adds three harmonics of seven seasons; it needs fourteen seasons of points.
+    """
     n = len(y)
+    order = min(order, (season - 1) // 2)  # higher harmonics repeat lower ones on a grid of ``season`` points
     periods = [(float(season), order)]
-    if n >= 2 * 7 * season:
+    if weekly:
         periods.append((7.0 * season, 3))
-    if n < 2 * season or n <= 2 + 2 * sum(k for _, k in periods):
-        raise ValueError("series too short for the seasonal regression")
+    if n < (14 if weekly else 2) * season or n <= 2 + 2 * sum(k for _, k in periods):
+        raise TooShort("series too short for the seasonal regression")
     if bounded:
         lo, hi = bounded
         span = hi - lo
@@ -127,9 +144,9 @@ def make_forecaster(key: str, horizon: int, step: str, methods: tuple[str, ...],
         out = None
         for m in methods:
             try:
-                if m == "fourier":
-                    yhat, lo, hi = _fourier_fit(y, horizon, season, 6, bounds)
-                    name = "fourier_logistic" if bounds else "fourier"
+                if m in ("fourier", "fourier_weekly"):
+                    yhat, lo, hi = _fourier_fit(y, horizon, season, 6, bounds, m == "fourier_weekly")
+                    name = f"{m}_logistic" if bounds else m
                 elif m == "hw":
                     yhat, rmse = _hw_fit(y, season, horizon)
                     lo, hi, name = yhat - Z80 * rmse, yhat + Z80 * rmse, "holt_winters"
@@ -137,16 +154,17 @@ def make_forecaster(key: str, horizon: int, step: str, methods: tuple[str, ...],
                     yhat = np.full(horizon, y[-1])
                     lo, hi, name = yhat, yhat, "naive_last"
                 else:
-                    raise ValueError(m)
+                    raise KeyError(m)
                 if not np.all(np.isfinite(yhat)):
-                    raise ValueError("non-finite fit")
+                    raise TooShort("non-finite fit")
                 out = pd.DataFrame({"ds": ds, "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi, "model": name})
                 break
-            except Exception:  # noqa: BLE001 - fall through to the next method, as the chain does
+            except TooShort:
                 continue
         if out is None:
-            return pd.DataFrame(columns=[key, "ds", "yhat", "yhat_lower", "yhat_upper", "model"])
-        if bounds:
+            # no method fits: the series stays visible as one row without a prediction
+            out = pd.DataFrame({"ds": [last], "yhat": [np.nan], "yhat_lower": [np.nan], "yhat_upper": [np.nan], "model": [REJECTED]})
+        elif bounds:
             for c in ("yhat", "yhat_lower", "yhat_upper"):
                 out[c] = out[c].clip(bounds[0], bounds[1])
         out.insert(0, key, pdf[key].iloc[0])
@@ -161,14 +179,29 @@ def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: s
     """Fit each series with the first method that succeeds, stack the observed tail and the forecast.
 
     ``series`` is (key, ds, y) on a regular grid (see ``series.interpolate``).  Series with fewer
-    than ``min_points`` points are not fitted (``series.short_series`` lists them).
+    than ``min_points`` points are not fitted (``series.short_series`` lists them).  Methods: ``fourier``,
+    ``fourier_weekly`` (adds weekly terms), ``hw``, ``naive``; only a series too short for a method falls
+    through to the next.  Past the gate every series has ``horizon`` predicted rows or one row of model
+    ``rejected`` (see ``rejected_series``).  The fit reads each series once and also returns its tail.
     """
     from .series import long_enough
     if min_points:
         series = long_enough(series, min_points, key)
     fit = make_forecaster(key, horizon, step, methods, season, bounds)
-    fc = series.select(key, "ds", "y").groupBy(key).applyInPandas(fit, FC_SCHEMA.format(key=key))
-    return forecast_frame(series, fc, key, hist)
+
+    def with_tail(pdf: pd.DataFrame) -> pd.DataFrame:
+        tail = pdf.nlargest(hist, "ds")[[key, "ds", "y"]].assign(model=OBSERVED)
+        return pd.concat([tail, fit(pdf)], ignore_index=True).reindex(columns=columns)
+
+    columns = [key, "ds", "y", "yhat", "yhat_lower", "yhat_upper", "model"]
+    schema = f"{key} string, ds timestamp_ntz, y double, yhat double, yhat_lower double, yhat_upper double, model string"
+    out = series.select(key, "ds", F.col("y").cast("double").alias("y")).groupBy(key).applyInPandas(with_tail, schema)
+    return out.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("y", "yhat", "yhat_lower", "yhat_upper")})
+
+
+def rejected_series(fc: DataFrame, key: str = "cell_id") -> DataFrame:
+    """Series past the gate that no method could fit."""
+    return fc.filter(F.col("model") == REJECTED).select(key, F.col("ds").alias("last_ds"))
 
 
 def forecast_frame(series: DataFrame, fc: DataFrame, key: str = "cell_id", hist: int = 24) -> DataFrame:
@@ -181,7 +214,7 @@ def forecast_frame(series: DataFrame, fc: DataFrame, key: str = "cell_id", hist:
 
 def breach_probability(fc: DataFrame, limit: float = 85.0, horizon: int = 12, key: str = "cell_id") -> DataFrame:
     """Share of the horizon's predicted steps whose upper band reaches ``limit``."""
-    pred = fc.filter(F.col("model") != "observed")
+    pred = fc.filter(predicted())
     return pred.groupBy(key).agg(
         (F.count_if(F.col("yhat_upper") >= limit) / F.lit(float(horizon))).alias("p_breach"))
 
@@ -193,7 +226,7 @@ def forecast_sanity(fc: DataFrame, recent_points: int = 24, key: str = "cell_id"
     rec = obs.groupBy(key).agg(F.percentile("y", 0.5).alias("recent_median"),
                                F.coalesce(F.stddev_samp("y"), F.lit(0.0)).alias("recent_std"),
                                F.regr_slope(F.col("y"), t).alias("recent_slope"))
-    pred = fc.filter(F.col("model") != "observed").groupBy(key).agg(F.min("yhat").alias("min_yhat"))
+    pred = fc.filter(predicted()).groupBy(key).agg(F.min("yhat").alias("min_yhat"))
     out = pred.join(rec, key, "inner")
     flag = (F.col("min_yhat") < F.col("recent_median") - 2 * F.col("recent_std")) & \
         (F.coalesce(F.col("recent_slope"), F.lit(0.0)) >= 0)
@@ -202,11 +235,11 @@ def forecast_sanity(fc: DataFrame, recent_points: int = 24, key: str = "cell_id"
 
 def forecast_summary(fc: DataFrame, key: str = "cell_id") -> DataFrame:
     """Per series: observed points, forecast horizon (distinct future steps), first/last step, models."""
-    pred = F.col("model") != "observed"
+    pred = predicted()
     return fc.groupBy(key).agg(
-        F.count_if(~pred).alias("n_observed"),
+        F.count_if(F.col("model") == OBSERVED).alias("n_observed"),
         F.count_distinct(F.when(pred, F.col("ds"))).alias("n_forecast"),
         F.min(F.when(pred, F.col("ds"))).alias("first_forecast"),
         F.max(F.when(pred, F.col("ds"))).alias("last_forecast"),
-        F.max(F.when(~pred, F.col("ds"))).alias("last_observed"),
+        F.max(F.when(F.col("model") == OBSERVED, F.col("ds"))).alias("last_observed"),
         F.array_join(F.array_sort(F.collect_set(F.when(pred, F.col("model")))), ",").alias("models"))

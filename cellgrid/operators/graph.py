@@ -9,11 +9,14 @@ recomputes at most a few rounds.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import opposite_endpoint
 from ..session import ensure_checkpoint_dir
+from .components import connected_components
 from .prefix import global_row_number
 
 CHECKPOINT_EVERY = 4
@@ -50,10 +53,6 @@ def degree(edges: DataFrame) -> DataFrame:
     return adj.groupBy(F.col("u").alias("cell_id")).agg(F.count(F.lit(1)).alias("neighbor_degree"))
 
 
-def _ckpt(df: DataFrame, i: int, every: int = CHECKPOINT_EVERY) -> DataFrame:
-    return df.checkpoint(eager=True) if i % every == 0 else df
-
-
 def pagerank(edges: DataFrame, d: float = 0.85, tol: float = 1e-6, max_iter: int = 100) -> DataFrame:
     """PageRank of the undirected graph: start 1/n, stop when the L1 change < n * tol.
 
@@ -66,10 +65,9 @@ def pagerank(edges: DataFrame, d: float = 0.85, tol: float = 1e-6, max_iter: int
     n = deg.count()
     if n == 0:
         return deg.select(F.col("u").alias("cell_id"), F.lit(0.0).alias("pagerank")).limit(0)
-    # edge table partitioned by source vertex and cached once: rounds only move ranks and contributions
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out_w = (adj.join(deg, "u").select("u", "v", (F.lit(1.0) / F.col("deg")).alias("w"))
-             .repartition(parts, "u").cache())
+    # cached once, without a fixed partitioning by source: a hub's edges stay where the join left
+    # them, and AQE may split a hub in the joins of each round
+    out_w = adj.join(deg, "u").select("u", "v", (F.lit(1.0) / F.col("deg")).alias("w")).cache()
     ranks = deg.select("u", F.lit(1.0 / n).alias("rank"))
     base = (1.0 - d) / n
     for i in range(1, max_iter + 1):
@@ -91,174 +89,79 @@ def pagerank(edges: DataFrame, d: float = 0.85, tol: float = 1e-6, max_iter: int
     return ranks.select(F.col("u").alias("cell_id"), F.col("rank").alias("pagerank"))
 
 
-LOCAL_EDGE_LIMIT = 2_000_000  # directed adjacency entries; ~16 MB as int32 CSR arrays
-
-
-def betweenness(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
-                seed: int = 7, local_edge_limit: int = LOCAL_EDGE_LIMIT) -> DataFrame:
-    """Exact betweenness; picks the broadcast-adjacency path when the graph is under a checked size.
-
-    ``adj.count() <= local_edge_limit``: the adjacency (bounded by the check) is broadcast
-    and sources are processed in parallel partitions (``_betweenness_broadcast``),
-    like a broadcast hash join.  Otherwise the level-synchronous DataFrame BFS runs,
-    which has no size limit but needs one round per BFS level.
-    """
-    ensure_checkpoint_dir(edges.sparkSession)
-    if source_fraction is None:
-        adj = undirected(edges)
-        n_adj = adj.count()
-        if n_adj <= local_edge_limit:
-            return _betweenness_broadcast(adj, normalized)
-    return _betweenness_bfs(edges, normalized, source_fraction, seed)
+#: edge visits (sources times edges) that one task of the betweenness takes
+BLOCK_WORK = 50_000_000
 
 
-def _betweenness_broadcast(adj: DataFrame, normalized: bool = True) -> DataFrame:
-    """Brandes (2001) per source inside ``mapInPandas``; adjacency broadcast as CSR arrays."""
-    import numpy as np
-    import pandas as pd
-
-    spark = adj.sparkSession
-    rows = adj.toArrow()  # bounded by the caller's size check
-    u = rows.column("u").to_numpy(zero_copy_only=False)
-    v = rows.column("v").to_numpy(zero_copy_only=False)
-    names = np.unique(np.concatenate([u, v])) if len(u) else np.array([], dtype=object)
-    n = len(names)
-    ui = np.searchsorted(names, u).astype(np.int32)
-    vi = np.searchsorted(names, v).astype(np.int32)
+def _brandes(u: np.ndarray, v: np.ndarray, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dependencies of every vertex of one component, summed over ``sources`` (Brandes 2001)."""
+    names, codes = np.unique(np.concatenate([u, v]), return_inverse=True)
+    ui, vi = codes[:len(u)], codes[len(u):]
     order = np.argsort(ui, kind="stable")
-    indptr = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(indptr, ui + 1, 1)
-    indptr = np.cumsum(indptr)
-    indices = vi[order]
-    bc = spark.sparkContext.broadcast((indptr, indices))
-
-    def run(batches):
-        ip, ix = bc.value
-        nbrs = [ix[ip[i]:ip[i + 1]].tolist() for i in range(len(ip) - 1)]
-        total = np.zeros(len(ip) - 1)
-        for pdf in batches:
-            for s in pdf["id"].tolist():
-                sigma = [0.0] * len(nbrs)
-                dist = [-1] * len(nbrs)
-                sigma[s], dist[s] = 1.0, 0
-                stack, queue, head = [], [s], 0
-                pred = {}
-                while head < len(queue):
-                    x = queue[head]
-                    head += 1
-                    stack.append(x)
-                    for w in nbrs[x]:
-                        if dist[w] < 0:
-                            dist[w] = dist[x] + 1
-                            queue.append(w)
-                        if dist[w] == dist[x] + 1:
-                            sigma[w] += sigma[x]
-                            pred.setdefault(w, []).append(x)
-                delta = {}
-                while stack:
-                    w = stack.pop()
-                    dw = delta.get(w, 0.0)
-                    for x in pred.get(w, ()):
-                        delta[x] = delta.get(x, 0.0) + sigma[x] / sigma[w] * (1.0 + dw)
-                    if w != s:
-                        total[w] += dw
-        nz = np.nonzero(total)[0]
-        yield pd.DataFrame({"vid": nz.astype(np.int64), "b": total[nz]})
+    ends = np.searchsorted(ui[order], np.arange(len(names) + 1))
+    heads = vi[order]
+    near = [heads[ends[i]:ends[i + 1]].tolist() for i in range(len(names))]
+    total = [0.0] * len(names)
+    for s in np.searchsorted(names, sources).tolist():
+        paths, depth = [0.0] * len(names), [-1] * len(names)
+        paths[s], depth[s] = 1.0, 0
+        queue = [s]
+        for x in queue:  # grows while it is read
+            below = depth[x] + 1
+            for w in near[x]:
+                if depth[w] < 0:
+                    depth[w] = below
+                    queue.append(w)
+                if depth[w] == below:
+                    paths[w] += paths[x]
+        credit = [0.0] * len(names)
+        for w in reversed(queue):
+            share = (1.0 + credit[w]) / paths[w]
+            above = depth[w] - 1
+            for x in near[w]:
+                if depth[x] == above:
+                    credit[x] += paths[x] * share
+            if w != s:
+                total[w] += credit[w]
+    return names, np.array(total)
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    partial = spark.range(0, n, 1, parts).mapInPandas(run, "vid long, b double")
-    sums = partial.groupBy("vid").agg(F.sum("b").alias("b"))
-    scale = 1.0 / ((n - 1) * (n - 2)) if (normalized and n > 2) else (1.0 if normalized else 0.5)
-    ids = spark.createDataFrame(pd.DataFrame({"vid": np.arange(n, dtype=np.int64), "cell_id": names.astype(str)}))
-    return ids.join(sums, "vid", "left").select(
-        "cell_id", (F.coalesce(F.col("b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 
-
-MAX_STATE_PAIRS = 2_000_000_000  # (source, vertex) pairs held per batch on the distributed path
-
-
-def _dependencies(sources: DataFrame, adj: DataFrame) -> DataFrame | None:
-    """Brandes dependencies summed per vertex for one batch of sources: (v, b), or None if no paths."""
-    level = sources.select(F.col("v").alias("s"), F.col("v"), F.lit(1.0).alias("sigma")).checkpoint(eager=True)
-    levels = [level]
-    prev = None
-    while True:
-        step = (level.join(adj.select(F.col("u").alias("v"), F.col("v").alias("w")), "v")
-                .groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma")))
-        step = step.join(level.select("s", "v"), ["s", "v"], "left_anti")
-        if prev is not None:
-            step = step.join(prev.select("s", "v"), ["s", "v"], "left_anti")
-        step = step.checkpoint(eager=True)
-        if step.isEmpty():
-            break
-        prev, level = level, step
-        levels.append(level)
-    # backward accumulation: delta(s,v) = sum_w sigma(s,v)/sigma(s,w) * (1 + delta(s,w))
-    total = None
-    nxt = levels[-1].withColumn("delta", F.lit(0.0))
-    for d in range(len(levels) - 2, 0, -1):
-        cur = levels[d]
-        contrib = (nxt.select("s", F.col("v").alias("w"), ((1.0 + F.col("delta")) / F.col("sigma")).alias("c"))
-                   .join(adj.select(F.col("u").alias("w"), "v"), "w")
-                   .groupBy("s", "v").agg(F.sum("c").alias("c")))
-        cur = cur.join(contrib, ["s", "v"], "left").select(
-            "s", "v", "sigma", (F.col("sigma") * F.coalesce(F.col("c"), F.lit(0.0))).alias("delta"))
-        cur = cur.checkpoint(eager=True)
-        part = cur.groupBy("v").agg(F.sum("delta").alias("b"))
-        total = part if total is None else total.unionByName(part)
-        if d % CHECKPOINT_EVERY == 0:
-            total = total.groupBy("v").agg(F.sum("b").alias("b")).checkpoint(eager=True)
-        nxt = cur
-    return total
-
-
-def _betweenness_bfs(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
-                     seed: int = 7, max_pairs: int = MAX_STATE_PAIRS) -> DataFrame:
-    """Brandes betweenness (unweighted, undirected) as level-synchronous BFS over DataFrames.
-
-    Forward: level frames (source, vertex, sigma) grown by one hop per round; a new
-    vertex is a neighbour of level d that is neither in level d nor d-1 (BFS layers),
-    so no global visited set is joined.  Backward: dependencies flow from level d+1
-    to predecessors at level d.  Sources are processed in hash batches so that at most
-    ``max_pairs`` (source, vertex) pairs are alive at once; the sum over batches is
-    still exact.  ``source_fraction`` switches to sampled sources scaled by n/s (Brandes
-    and Pich 2007) as an explicit approximation.  Normalised by 1/((n-1)(n-2)) over
-    ordered pairs, as the reference does.
+def betweenness(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
+                seed: int = 7, block_work: int = BLOCK_WORK) -> DataFrame:
+    """Exact betweenness, one path for every size: work is dealt by component and block of sources.
+
+    Shortest paths stay inside a component, so a task gets one component's edges and a block of its
+    sources, as many as ``block_work`` edge visits allow, and returns one partial sum per vertex.  Nothing is
+    collected or broadcast; a task holds the edges of one component.  ``source_fraction`` takes a share of the sources by
+    hash and scales by n/s (Brandes and Pich 2007), the only and explicit approximation.  Normalised by 1/((n-1)(n-2))
+    over ordered pairs, as the reference does.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    adj = undirected(edges).cache()
-    verts = adj.select(F.col("u").alias("v")).distinct().cache()
-    n = verts.count()
-    sources = verts
-    scale_k = 1.0
-    s_n = n
-    if source_fraction is not None and source_fraction < 1.0:
-        sources = verts.sample(False, source_fraction, seed)
-        s_n = sources.count()
-        scale_k = n / s_n if s_n else 0.0
-    batches = max(1, -(-(s_n * n) // max_pairs))
-    parts = []
-    for b in range(batches):
-        src = sources if batches == 1 else sources.filter(F.pmod(F.xxhash64("v"), F.lit(batches)) == b)
-        dep = _dependencies(src, adj)
-        if dep is not None:
-            parts.append(dep.groupBy("v").agg(F.sum("b").alias("b")).checkpoint(eager=True))
-    scale = 1.0
-    if normalized and n > 2:
-        scale = 1.0 / ((n - 1) * (n - 2))
-    elif not normalized:
-        scale = 0.5
-    scale *= scale_k
-    if parts:
-        allp = parts[0]
-        for p_ in parts[1:]:
-            allp = allp.unionByName(p_)
-        sums = allp.groupBy("v").agg(F.sum("b").alias("b"))
-    else:
-        sums = verts.select("v", F.lit(0.0).alias("b")).limit(0)
-    out = verts.join(sums, "v", "left").select(
-        F.col("v").alias("cell_id"), (F.coalesce(F.col("b"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
-    return out
+    adj = undirected(edges).checkpoint()
+    part = connected_components(adj).select(F.col("vertex").alias("u"), "component").checkpoint()
+    n = part.count()
+    chosen = part if source_fraction is None else part.filter(
+        F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(1_000_000)) < int(source_fraction * 1_000_000))
+    n_sources = n if source_fraction is None else chosen.count()
+    tagged = adj.join(part, "u")
+    size = tagged.groupBy("component").agg(F.count("*").alias("e")).join(chosen.groupBy("component").agg(F.count("*").alias("s")), "component")
+    blocks = size.select("component", F.ceil(F.col("e") * F.col("s") / F.lit(block_work)).cast("int").alias("blocks"))
+    block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    dealt = tagged.join(blocks, "component").select("component", block, "u", "v")
+    mine = chosen.join(blocks, "component").select(
+        "component", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"), F.col("u"), F.lit(None).cast("string").alias("v"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        source = pdf["v"].isna()
+        names, total = _brandes(pdf.loc[~source, "u"].to_numpy(str), pdf.loc[~source, "v"].to_numpy(str), pdf.loc[source, "u"].to_numpy(str))
+        return pd.DataFrame({"u": names, "b": total})
+
+    sums = (dealt.unionByName(mine).groupBy("component", "block").applyInPandas(run, "u string, b double")
+            .groupBy("u").agg(F.sum("b").alias("b")))
+    scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
+    scale *= n / n_sources if n_sources else 0.0
+    return part.join(sums, "u", "left").select(F.col("u").alias("cell_id"),
+                                               (F.coalesce("b", F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 
 
 def centrality(edges: DataFrame) -> DataFrame:

@@ -5,6 +5,10 @@ the frame is range-partitioned on the order key, each range computes its local
 running sum, the per-range totals (one row per partition, a proven small size)
 are turned into offsets and broadcast back.  Work and memory per task stay
 bounded by the range size at any scale.
+
+Two branches read the ranges (rows and totals).  Range bounds are sampled anew by every
+exchange, so the ranged frame is stored once with its range number in a reliable checkpoint;
+both branches, and any recomputation after a lost executor, see the same ranges.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def _n_parts(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -28,9 +34,10 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: list[str], prefix: str
     extra pass over the data.
     """
     n = _n_parts(df, num_partitions)
+    ensure_checkpoint_dir(df.sparkSession)
     # an explicit partition count makes this a REPARTITION_BY_NUM shuffle, which AQE never coalesces,
-    # so spark_partition_id() is the range index in both branches below (and the exchange is reused)
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
+    # so spark_partition_id() is the range index when the checkpoint is written
+    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in sums])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])

@@ -10,6 +10,8 @@ WindowGroupLimit before the exchange, so a hot group ships only n rows.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +34,35 @@ def slice_region_date(df: DataFrame, region: str, date: str | None = "latest") -
     return part.filter(F.col("date") == F.lit(date).cast("date"))
 
 
+def on_latest_date(df: DataFrame) -> DataFrame:
+    """Rows of the newest ``date``, as a literal filter that prunes the partitions of a layer.
+
+    The newest date is one value, found from the partition column alone.  Frames without
+    a ``date`` column, or without rows, come back as they are.
+    """
+    if "date" not in df.columns:
+        return df
+    last = df.select(F.max("date")).first()[0]
+    return df if last is None else df.filter(F.col("date") == F.lit(last))
+
+
 def latest_hour(df: DataFrame, ts: str = "ts_hour") -> DataFrame:
-    """Rows at the newest timestamp."""
-    return df.filter(F.col(ts) == max_of(df, ts))
+    """Rows at the newest timestamp; on a ``date`` partitioned layer only the last date is read."""
+    last = on_latest_date(df)
+    return last.filter(F.col(ts) == max_of(last, ts))
 
 
 def recent_window(df: DataFrame, ts: str, hours: int, inclusive: bool = True, anchor=None) -> DataFrame:
-    """Rows with ``ts >= anchor - hours`` (``>`` when not inclusive); anchor defaults to max(ts)."""
+    """Rows with ``ts >= anchor - hours`` (``>`` when not inclusive); anchor defaults to max(ts).
+
+    On a ``date`` partitioned layer the anchor is read from the last date only, and dates before
+    the window are pruned.
+    """
+    if anchor is None and "date" in df.columns:
+        newest = on_latest_date(df).select(F.max(ts)).first()[0]  # one value
+        if newest is not None:
+            first_day = (newest - timedelta(hours=hours)).date()
+            df, anchor = df.filter(F.col("date") >= F.lit(first_day)), F.lit(newest).cast(df.schema[ts].dataType)
     anchor = max_of(df, ts) if anchor is None else anchor
     lower = anchor - F.make_dt_interval(F.lit(0), F.lit(hours))
     cond = F.col(ts) >= lower if inclusive else F.col(ts) > lower
@@ -74,7 +98,14 @@ def top_per_region(scores: DataFrame, n: int = 10, by: str = "risk_score") -> Da
 
 
 def latest_by_region(df: DataFrame, ts: str = "ts_hour") -> DataFrame:
-    """Rows at each region's newest timestamp: a small (region, max) aggregate, then a semi join."""
+    """Rows at each region's newest timestamp: a small (region, max) aggregate, then a semi join.
+
+    On a (date, region) partitioned layer each region's last date is found first; the join on the
+    partition columns lets Spark prune the other dates while it runs.
+    """
+    if "date" in df.columns:
+        days = df.groupBy("region").agg(F.max("date").alias("date"))
+        df = df.join(days, ["region", "date"], "left_semi")
     last = df.groupBy("region").agg(F.max(ts).alias(ts))
     return df.join(last, ["region", ts], "left_semi")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import layers
 from ..schemas import GOLD, SILVER
-from ..session import code_fingerprint, input_fingerprint, materialize, materialize_layer
+from ..session import code_fingerprint, input_fingerprint, layer_path, materialize, materialize_layer
 from ..sources.adapters import bronze_from_events
 
 
@@ -44,6 +44,12 @@ def gold(spark: SparkSession, sf_dir: str, grain: str = "hour", merge_cells: int
                                                  grain=grain, strict_label=strict_label), schema=GOLD)
 
 
+def gold_path(spark: SparkSession, sf_dir: str, grain: str = "hour") -> str:
+    """Root folder of the written gold layer."""
+    gold(spark, sf_dir, grain)
+    return layer_path(spark, f"gold-{grain}-mNone-s0", _layer_key(spark, sf_dir, None))
+
+
 def risk_expr() -> F.Column:
     """Deterministic stand-in risk score used where a query needs a score column with an exact oracle."""
     return F.round(0.6 * F.least(F.col("latency_ms_p95") / 150.0, F.lit(1.0))
@@ -83,21 +89,23 @@ def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "neighbor_degree", "pagerank", "betweenness")
 
 
-def risk_model_path(spark: SparkSession, sf_dir: str, kind: str) -> str:
+def risk_model_path(spark: SparkSession, sf_dir: str, kind: str, grain: str = "day") -> str:
     from ..session import _key, scratch_path
     from ..operators import features, graph, model as model_mod
-    key = _layer_key(spark, sf_dir, kind, code_fingerprint(features, graph, model_mod))
-    return scratch_path(spark, f"model-{kind}-{_key(kind, key, os.environ.get('CELLGRID_VERSION', '1'))}")
+    key = _layer_key(spark, sf_dir, kind, grain, code_fingerprint(features, graph, model_mod))
+    return scratch_path(spark, f"model-{kind}-{grain}-{_key(kind, key, os.environ.get('CELLGRID_VERSION', '1'))}")
 
 
-def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit):
+def risk_model(spark: SparkSession, sf_dir: str, kind: str, fit, grain: str = "day"):
     """Fit once per input folder and keep the model in the shared scratch area."""
     from pyspark.ml import PipelineModel
-    path = risk_model_path(spark, sf_dir, kind)
+
+    from ..operators.model import save_model
+    path = risk_model_path(spark, sf_dir, kind, grain)
     jvm = spark.sparkContext._jvm
     jp = jvm.org.apache.hadoop.fs.Path(path + "/metadata")
     if jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jp):
         return PipelineModel.load(path)
     model = fit()
-    model.write().overwrite().save(path)
+    save_model(model, path)
     return model

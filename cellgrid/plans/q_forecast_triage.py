@@ -174,33 +174,44 @@ def forecast_summary(spark, sf_dir):
 
 
 def prb_model_series(spark, sf_dir):
-    """PRB series prepared as for model fitting: values bounded to 0..100, hourly grid, winsorised."""
-    g = fx.gold(spark, sf_dir, "hour", merge_cells=12)
-    g = SE.bounded(g, ["prb_util_pct_avg"], *BOUNDS)
-    s = SE.interpolate(g, "cell_id", "ts_hour", "prb_util_pct_avg", "hour")
+    """Daily PRB series of every cell prepared as for model fitting: bounded to 0..100, regular grid, winsorised."""
+    g = SE.bounded(fx.gold(spark, sf_dir, "day"), ["prb_util_pct_avg"], *BOUNDS)
+    s = SE.interpolate(g, "cell_id", "ts_hour", "prb_util_pct_avg", "day")
     return SE.winsorize(s.drop("observed"), "cell_id", "y", 0.01, 0.99).drop("p_lo", "p_hi")
 
 
+SEASON = 7  # days; every cell has about 27, and both seasonal methods need two seasons
+
+
 @query("forecast_hw")
 def forecast_hw(spark, sf_dir):
-    """additive Holt-Winters (season 24) per merged cell, fallback to naive; bounded 0..100."""
-    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("hw", "naive"), 24, 24,
-                       BOUNDS, min_points=24)
+    """additive Holt-Winters (season 7 days) for every cell, fallback to naive; bounded 0..100."""
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "day", ("hw", "naive"), SEASON, HIST_DAYS,
+                       BOUNDS, min_points=SEASON)
 
 
 @query("forecast_fourier")
 def forecast_fourier(spark, sf_dir):
-    """trend + daily/weekly Fourier terms on a logit scale, fallback chain hw -> naive."""
-    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "hour", ("fourier", "hw", "naive"), 24,
-                       24, BOUNDS, min_points=24)
+    """trend + weekly Fourier terms on a logit scale for every cell, fallback chain hw -> naive."""
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "day", ("fourier", "hw", "naive"), SEASON,
+                       HIST_DAYS, BOUNDS, min_points=SEASON)
 
 
 @query("forecast_latency")
 def forecast_latency(spark, sf_dir):
-    """F4/F5 for latency p95: trend + weekly/daily Fourier terms, Holt-Winters fallback, 24 h ahead, 48 h shown."""
-    s = SE.interpolate(fx.gold(spark, sf_dir, "hour", merge_cells=12), "cell_id", "ts_hour", "latency_ms_p95",
-                       "hour")
-    return FC.forecast(s, "cell_id", 24, "hour", ("fourier", "hw"), 24, 48, None, min_points=24)
+    """F4/F5 for latency p95 of every cell: trend + weekly Fourier terms, Holt-Winters fallback, series that neither
+    fits are listed as rejected; 14 days ahead and shown."""
+    s = SE.interpolate(fx.gold(spark, sf_dir, "day"), "cell_id", "ts_hour", "latency_ms_p95", "day")
+    return FC.forecast(s, "cell_id", HIST_DAYS, "day", ("fourier", "hw"), SEASON, HIST_DAYS, None, min_points=SEASON)
+
+
+cte("day_points", "SELECT cell_id, count(*) AS n FROM interp_day GROUP BY cell_id", "interp_day")
+
+
+@query("forecast_rejected", sql(f"SELECT cell_id, n AS n_points FROM day_points WHERE n < {4 * SEASON - 1}", "day_points"))
+def forecast_rejected(spark, sf_dir):
+    """cells below a gate of 27 daily points, which part of the cells miss, with their lengths."""
+    return SE.short_series(daily_series(spark, sf_dir), 4 * SEASON - 1)
 
 
 # ---- alert triage on the latest scores (risk >= 0.5) ----

@@ -124,6 +124,26 @@ def features(spark, sf_dir):
     return features_df(spark, sf_dir)
 
 
+cte("feat_raw_hour", _feature_sql("gold"), "gold", "centrality")
+cte("features_hour", "SELECT cell_id, region, ts_hour, y_next_anomaly, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in ALL_FEATURES) + " FROM feat_raw_hour", "feat_raw_hour")
+
+
+@query("features_hourly", sql(rounded(FEATURE_COLS, ALL_FEATURES, "features_hour"), "features_hour"))
+def features_hourly(spark, sf_dir):
+    """M1/W1-W4 at the reference's grain: hourly gold with the next-hour label and its features."""
+    return FE.features(fx.gold(spark, sf_dir, "hour"), fx.centrality(spark, sf_dir))
+
+
+@query("score_gbt_hourly")
+def score_gbt_hourly(spark, sf_dir):
+    """M3/M12 at the reference's grain: trained on hourly rows, scores for the last hour."""
+    f = FE.features(fx.gold(spark, sf_dir, "hour"), fx.centrality(spark, sf_dir))
+    train = FE.time_split(FE.training_rows(f)).filter(F.col("split") == "train")
+    model = fx.risk_model(spark, sf_dir, "gbt", lambda: M.fit_risk_model(train, ALL_FEATURES, "gbt"), grain="hour")
+    return M.score(model, L.latest_hour(f)).select("cell_id", "region", "ts_hour", "risk_score")
+
+
 cte("labelled", "SELECT * FROM scored WHERE y_next_anomaly IS NOT NULL", "scored")
 cte("test_rows", "SELECT * FROM labelled WHERE ts_hour >= (SELECT quantile_disc(ts_hour, 0.8) FROM labelled)",
     "labelled")
@@ -345,6 +365,16 @@ def top_reasons_model(spark, sf_dir):
     return AT.top_attributed(att, ALL_FEATURES, 3)
 
 
+@query("top_reasons_forest")
+def top_reasons_forest(spark, sf_dir):
+    """M9: top-3 features by |tree path attribution| of the random forest, latest period."""
+    from ..operators import attribution as AT
+    train, _ = _train_test(spark, sf_dir)
+    fx.risk_model(spark, sf_dir, "rf", lambda: M.fit_risk_model(train, ALL_FEATURES, "rf"))
+    att = AT.tree_attributions(fx.risk_model_path(spark, sf_dir, "rf"), L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
+    return AT.top_attributed(att, ALL_FEATURES, 3)
+
+
 @query("global_attribution_model")
 def global_attribution_model(spark, sf_dir):
     """Mean |tree path attribution| per feature over all test rows."""

@@ -9,13 +9,13 @@ from pyspark.sql import types as T
 from ..operators import evaluation as EV
 from ..operators import slices as L
 from ..operators import quality as Q
-from ..schemas import EDGES, GOLD_WAREHOUSE, MART_CELL_HOUR_SCORES, SILVER
+from ..schemas import ALL_FEATURES, EDGES, GOLD_WAREHOUSE, MART_CELL_HOUR_SCORES, SILVER
 from ..session import _key, scratch_path
 from ..sources import readers as R
 from ..sources import sinks as K
 from . import fixtures as fx
 from .oracle_base import GOLD_COLS, GOLD_DOUBLES, KPIS, rounded, sql
-from .q_graph_model import test_rows
+from .q_graph_model import _report_sql, test_rows
 from .q_layers import SILVER_COLS
 from .registry import query
 
@@ -40,9 +40,7 @@ def write_read_silver(spark, sf_dir):
 @query("load_cells", sql("SELECT DISTINCT region, cell_id FROM gold WHERE cell_id IS NOT NULL", "gold"))
 def load_cells(spark, sf_dir):
     """First source that yields cells (a missing folder, then the gold layer)."""
-    path = _path(spark, sf_dir, "gold")
-    K.write_layer(fx.gold(spark, sf_dir), path, ("date", "region"))
-    return R.load_cells(spark, [("parquet", _path(spark, sf_dir, "does-not-exist")), ("parquet", path)])
+    return R.load_cells(spark, [("parquet", _path(spark, sf_dir, "does-not-exist")), ("parquet", fx.gold_path(spark, sf_dir))])
 
 
 @query("edges_from_csv", sql("SELECT src_cell_id, dst_cell_id FROM lattice", "lattice"))
@@ -93,21 +91,35 @@ def alerts_export_csv(spark, sf_dir):
     return R.read_csv(spark, path, "cell_id string, region string, ts_hour string, risk_score double")
 
 
-@query("metrics_json_lookup", sql("""
-SELECT round((SELECT threshold FROM op_point), 6) AS threshold,
-  round((SELECT f1 FROM op_point), 6) AS f1, CAST(0.5 AS DOUBLE) AS missing_default""", "op_point"))
+@query("metrics_json_lookup", sql(f"""
+SELECT round((SELECT threshold FROM op_point), 6) AS threshold, round((SELECT f1 FROM op_point), 6) AS f1,
+  round((SELECT f1_score FROM ({_report_sql("risk_score > 0.5")}) a WHERE label = 'macro avg'), 6) AS report_macro_f1,
+  round((SELECT recall FROM ({_report_sql("risk_score >= (SELECT threshold FROM op_point)")}) b WHERE label = '1'), 6)
+    AS recall_at_threshold,
+  CAST({len(ALL_FEATURES)} AS INTEGER) AS n_features, CAST(0.25 AS DOUBLE) AS missing_default""", "op_point", "test_rows"))
 def metrics_json_lookup(spark, sf_dir):
-    """Metrics document written as JSON, reopened, nested keys read with a default."""
-    t = test_rows(spark, sf_dir)
-    doc = K.metrics_document({"auc_roc": EV.auc_roc(t).select("auc_roc"),
-                              "auc_pr": EV.auc_pr(t),
-                              "operating_point": EV.operating_point(t)})
+    """Metrics document written as JSON, reopened and extended with the operating point and the report
+    there, written again, nested keys read with a default."""
+    t = test_rows(spark, sf_dir).checkpoint()  # the scored test rows feed every part
     path = _path(spark, sf_dir, "metrics-json")
-    K.write_metrics(doc, path)
-    m = R.read_metrics(spark, path)
-    return spark.range(1).select(R.metrics_value(m, "operating_point.threshold", 0.5).alias("threshold"),
-                                 R.metrics_value(m, "operating_point.f1", 0.0).alias("f1"),
-                                 R.metrics_value(m, F.col("report")["1"]["precision"], 0.5).alias("missing_default"))
+    K.write_metrics(K.metrics_document({
+        "auc_roc": EV.auc_roc(t).select("auc_roc"), "auc_pr": EV.auc_pr(t),
+        "report": K.report_part(EV.classification_report(t, threshold=0.5, strict=True)),
+        "features": K.features_part(spark, ALL_FEATURES)}), path)
+    point = EV.operating_point(t)
+    thr = point.select("threshold").first()[0]  # one number
+    K.write_metrics(K.extend_metrics(R.read_metrics(spark, path), {
+        "operating_point": point,
+        "report_at_threshold": K.report_part(EV.classification_report(t, threshold=thr, strict=False), "report_at_threshold")}),
+        f"{path}-extended")
+    m = R.read_metrics(spark, f"{path}-extended")
+    return spark.range(1).select(
+        R.metrics_value(m, "operating_point.threshold", 0.5).alias("threshold"),
+        R.metrics_value(m, "operating_point.f1", 0.0).alias("f1"),
+        R.metrics_value(m, F.col("report")["macro avg"]["f1-score"], -1.0).alias("report_macro_f1"),
+        R.metrics_value(m, F.col("report_at_threshold")["1"]["recall"], -1.0).alias("recall_at_threshold"),
+        m.select(F.size("features")).scalar().alias("n_features"),
+        R.metrics_value(m, F.col("report")["no such label"]["precision"], 0.25).alias("missing_default"))
 
 
 COERCE_TARGET = {"n_samples": "integer", "anomaly_any": "smallint", "hour": "smallint",
@@ -116,11 +128,11 @@ COERCE_TARGET = {"n_samples": "integer", "anomaly_any": "smallint", "hour": "sma
 
 
 @query("coerce_types", sql("""
-SELECT CAST(round(TRY_CAST(n_samples AS DOUBLE)) AS BIGINT) AS n_samples,
-  CAST(round(TRY_CAST(anomaly_any AS DOUBLE)) AS BIGINT) AS anomaly_any,
-  CAST(round(TRY_CAST(hour AS DOUBLE)) AS BIGINT) AS hour,
-  coalesce(round(TRY_CAST(y_next_anomaly AS DOUBLE)), 0.0) <> 0 AS y_next_anomaly,
-  CAST(round(TRY_CAST(latency_ms_p95 AS DOUBLE)) AS BIGINT) AS latency_ms_p95,
+SELECT CAST(round_even(TRY_CAST(n_samples AS DOUBLE), 0) AS BIGINT) AS n_samples,
+  CAST(round_even(TRY_CAST(anomaly_any AS DOUBLE), 0) AS BIGINT) AS anomaly_any,
+  CAST(round_even(TRY_CAST(hour AS DOUBLE), 0) AS BIGINT) AS hour,
+  coalesce(round_even(TRY_CAST(y_next_anomaly AS DOUBLE), 0), 0.0) <> 0 AS y_next_anomaly,
+  CAST(round_even(TRY_CAST(latency_ms_p95 AS DOUBLE), 0) AS BIGINT) AS latency_ms_p95,
   TRY_CAST(CAST(ts_hour AS VARCHAR) AS TIMESTAMP) AS ts_hour,
   CAST(region AS VARCHAR) AS region,
   round(TRY_CAST(prb_util_pct_avg AS DOUBLE), 6) AS prb_util_pct_avg
@@ -151,12 +163,12 @@ def mart_scores(spark, sf_dir):
   WHERE ts_hour = (SELECT max(ts_hour) FROM scored) ORDER BY risk_score DESC, cell_id, region LIMIT 50) t"""), "scored"))
 def warehouse_view(spark, sf_dir):
     """The "last hour, high risk" view defined in Spark SQL over the published mart table."""
-    K.publish_table(to_contract(fx.scored(spark, sf_dir), MART_CELL_HOUR_SCORES), "mart_cell_hour_scores",
+    K.publish_table(to_contract(fx.scored(spark, sf_dir), MART_CELL_HOUR_SCORES), "mart_view_source",
                     _path(spark, sf_dir, "mart_cell_hour_scores_v"))
     spark.sql("""
         CREATE OR REPLACE TEMP VIEW v_last_hour_risk AS
-        WITH h AS (SELECT max(ts_hour) AS ts_hour FROM mart_cell_hour_scores)
-        SELECT s.* FROM mart_cell_hour_scores s JOIN h ON s.ts_hour = h.ts_hour
+        WITH h AS (SELECT max(ts_hour) AS ts_hour FROM mart_view_source)
+        SELECT s.* FROM mart_view_source s JOIN h ON s.ts_hour = h.ts_hour
         ORDER BY s.risk_score DESC, s.cell_id, s.region LIMIT 50""")
     return spark.table("v_last_hour_risk")
 
@@ -175,3 +187,12 @@ _DRIFT = [("n_samples", "int", "bigint", "CAST(n_samples AS INTEGER)", "n_sample
 def schema_drift(spark, sf_dir):
     """Q4: gold against the warehouse contract: changed types (with values that would not fit), extras."""
     return Q.schema_drift(fx.gold(spark, sf_dir), GOLD_WAREHOUSE, check_values=True)
+
+
+@query("p95_large_groups", """
+SELECT l_suppkey, count(*) AS n, quantile_disc(l_extendedprice, 0.95) AS price_p95 FROM lineitem GROUP BY l_suppkey""")
+def p95_large_groups(spark, sf_dir):
+    """A2 on large groups: p95 of the line price per supplier.  The sketch's rank error is at most n / 10000, so
+    groups of fewer than 10000 rows are exact, and larger ones are off by at most one rank in ten thousand."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_suppkey").agg(
+        F.count("*").alias("n"), F.percentile_approx("l_extendedprice", 0.95, 10_000).alias("price_p95"))

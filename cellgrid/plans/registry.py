@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 DIGITS = 6
@@ -27,6 +29,7 @@ def round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def query(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return round_doubles(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__

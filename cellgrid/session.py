@@ -42,16 +42,16 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 128,
-                 shuffle_ratio: float = 0.5, max_partitions: int = 100_000) -> dict:
+                 shuffle_ratio: float = 0.5) -> dict:
     """Settings for a cluster run, sized from the input volume.
 
     Scan splits of ``target_partition_mb``; shuffle partitions so that the shuffled bytes
     (``shuffle_ratio`` of the input after pruning and partial aggregation) land near the
-    target per partition, at least 2 per core and capped; AQE coalesces small ones and
+    target per partition, at least 2 per core; AQE coalesces small ones and
     splits skewed ones at runtime.
     """
     target = target_partition_mb * 1024 * 1024
-    shuffle = int(min(max_partitions, max(2 * total_cores, input_bytes * shuffle_ratio // target)))
+    shuffle = int(max(2 * total_cores, input_bytes * shuffle_ratio // target))
     return {
         "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -65,6 +65,36 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int =
     }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    A zip of the package's sources goes into the shared checkpoint folder and is added to the
+    application once.  Not needed where the package is installed on the nodes or on PYTHONPATH.
+    """
+    import io
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    root = Path(__file__).parent
+    if getattr(sc, "_cellgrid_shipped", False):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    target = scratch_path(spark, "cellgrid.zip")
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(packed.getvalue())
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    sc._cellgrid_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
@@ -98,14 +128,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def input_fingerprint(spark: SparkSession, *paths: str) -> str:
-    """Identify input files by path, length and modification time (any Hadoop file system)."""
+    """Identify inputs by the names, lengths and modification times of all their files (any Hadoop file system)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     parts = []
     for p in paths:
         jp = jvm.org.apache.hadoop.fs.Path(p)
-        st = jp.getFileSystem(conf).getFileStatus(jp)
-        parts.append(f"{p}:{st.getLen()}:{st.getModificationTime()}")
+        files = jp.getFileSystem(conf).listFiles(jp, True)  # a folder's own length and time say nothing of its files
+        found = []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}")
+        parts.append(f"{p}:{hashlib.sha1('|'.join(sorted(found)).encode()).hexdigest()}")
     return "|".join(parts)
 
 
@@ -115,12 +149,17 @@ def code_fingerprint(*modules) -> str:
     return hashlib.sha1("".join(inspect.getsource(m) for m in modules).encode()).hexdigest()[:12]
 
 
+def layer_path(spark: SparkSession, name: str, source_key: str) -> str:
+    """Folder of a materialized layer."""
+    return scratch_path(spark, f"{name}-{_key(name, source_key, os.environ.get('CELLGRID_VERSION', '1'))}")
+
+
 def materialize_layer(spark: SparkSession, name: str, source_key: str, build, keys=("date", "region"),
                       schema=None) -> DataFrame:
     """Write ``build()`` once as a hive-partitioned layer in the shared scratch area and read it back."""
     from .sources.readers import read_layer
     from .sources.sinks import write_layer
-    path = scratch_path(spark, f"{name}-{_key(name, source_key, os.environ.get('CELLGRID_VERSION', '1'))}")
+    path = layer_path(spark, name, source_key)
     if not _exists(spark, path):
         write_layer(build(), path, keys)
     return read_layer(spark, path, schema, partitioned=True)

@@ -14,12 +14,12 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
                partitioned: bool = False) -> DataFrame:
     """Parquet layer; hive partition columns (``date=..``/``region=..``) come back as columns.
 
-    With a schema, the read is projected and cast to it (no inference pass).
+    With a schema there is no inference pass: types (those of partition columns too, so a region
+    ``007`` stays a string) are the declared ones, and a declared column that no file has is null.
     """
-    df = spark.read.parquet(path)
-    if schema is not None:
-        df = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns])
-    return df
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select([f.name for f in schema.fields])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -84,12 +84,15 @@ def metrics_value(metrics: DataFrame, path, default: float) -> F.Column:
     return F.coalesce(metrics.select(c.cast("double")).scalar(), F.lit(float(default)))
 
 
+_REPORT = T.MapType(T.StringType(), T.StructType([
+    T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
+    T.StructField("f1-score", T.DoubleType()), T.StructField("support", T.DoubleType())]))
+
 METRICS_SCHEMA = T.StructType([
     T.StructField("auc_roc", T.DoubleType()),
     T.StructField("auc_pr", T.DoubleType()),
-    T.StructField("report", T.MapType(T.StringType(), T.StructType([
-        T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
-        T.StructField("f1-score", T.DoubleType()), T.StructField("support", T.DoubleType())]))),
+    T.StructField("report", _REPORT),
+    T.StructField("report_at_threshold", _REPORT),
     T.StructField("features", T.ArrayType(T.StringType())),
     T.StructField("operating_point", T.StructType([
         T.StructField("threshold", T.DoubleType()), T.StructField("precision", T.DoubleType()),

@@ -24,10 +24,6 @@ def write_layer(df: DataFrame, path: str, keys: tuple[str, ...] = ("date", "regi
     w.parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -39,15 +35,32 @@ def publish_table(df: DataFrame, name: str, path: str) -> DataFrame:
 
 
 def metrics_document(parts: dict[str, DataFrame]) -> DataFrame:
-    """Nest one-row frames into one JSON document row: {name: {..fields..}} (scalars stay flat)."""
-    cols = []
-    for name, one in parts.items():
-        if len(one.columns) == 1 and one.columns[0] == name:
-            cols.append(one.select(F.col(name)).scalar().alias(name))
-        else:
-            cols.append(F.struct(*[one.select(F.col(c)).scalar().alias(c) for c in one.columns]).alias(name))
+    """Nest one-row frames into one JSON document row: {name: {..fields..}}; a frame of one column of
+    the part's own name stays flat.  Each part's plan runs once, as one struct-valued scalar."""
     spark: SparkSession = next(iter(parts.values())).sparkSession
-    return spark.range(1).select(F.to_json(F.struct(*cols)).alias("value"))
+    return spark.range(1).select(F.to_json(F.struct(*_part_columns(parts))).alias("value"))
+
+
+def _part_columns(parts: dict[str, DataFrame]) -> list:
+    return [(one.select(F.col(name)) if one.columns == [name] else one.select(F.struct(*one.columns))).scalar().alias(name)
+            for name, one in parts.items()]
+
+
+def report_part(report: DataFrame, name: str = "report") -> DataFrame:
+    """A classification report (one row per label) as one map: label -> precision, recall, f1-score, support."""
+    entry = F.struct(F.col("label"), F.struct("precision", "recall", F.col("f1_score").alias("f1-score"),
+                                              F.col("support").cast("double").alias("support")))
+    return report.agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
+def features_part(spark: SparkSession, features: list[str]) -> DataFrame:
+    return spark.range(1).select(F.array(*[F.lit(f) for f in features]).alias("features"))
+
+
+def extend_metrics(document: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """A read document (``read_metrics``) reopened: ``parts`` replace or add their fields, the others stay."""
+    kept = [F.col(c) for c in document.columns if c not in parts]
+    return document.select(F.to_json(F.struct(*kept, *_part_columns(parts))).alias("value"))
 
 
 def write_metrics(doc: DataFrame, path: str) -> None:
@@ -84,16 +97,22 @@ def mirror_plan(df: DataFrame, existing: dict[str, str] | None = None) -> DataFr
     return df.sparkSession.createDataFrame(rows, "column string, sink_type string, action string")
 
 
+def add_column_statements(df: DataFrame, table: str, existing: dict[str, str]) -> list[str]:
+    """The statements that add the sink columns ``table`` lacks, in column order."""
+    return [f'ALTER TABLE {table} ADD COLUMN IF NOT EXISTS "{f.name}" {sink_type(f.dataType)}'
+            for f in df.schema.fields if f.name not in existing]
+
+
 def coerce_types(df: DataFrame, target: dict[str, str]) -> DataFrame:
-    """Coerce columns to sink types: integers rounded, bad values -> NULL, NULL boolean -> false."""
+    """Coerce columns to sink types: integers rounded (exact halves to even), bad values -> NULL, NULL boolean -> false."""
     out = []
     for c in df.columns:
         t = target.get(c, "").lower()
         x = F.col(c)
         if t in ("smallint", "integer", "bigint"):
-            e = F.round(x.try_cast("double")).try_cast("long")
+            e = F.bround(x.try_cast("double")).try_cast("long")
         elif t == "boolean":
-            e = F.coalesce(F.round(x.try_cast("double")), F.lit(0.0)) != 0
+            e = F.coalesce(F.bround(x.try_cast("double")), F.lit(0.0)) != 0
         elif t.startswith("timestamp"):
             e = x.cast("string").try_cast("timestamp_ntz")
         elif t in ("double precision", "double", "float"):
@@ -107,8 +126,9 @@ def coerce_types(df: DataFrame, target: dict[str, str]) -> DataFrame:
 
 
 def mirror_jdbc(df: DataFrame, url: str, table: str, props: dict[str, str] | None = None,
-                num_partitions: int = 8, batch_size: int = 10000) -> None:
-    """Truncate-and-load into a JDBC table (keeps the table definition); parallel writers."""
-    (df.repartition(num_partitions).write.mode("overwrite")
+                max_writers: int | None = None, batch_size: int = 10000) -> None:
+    """Truncate-and-load into a JDBC table (keeps the table definition); one writer per partition, at most
+    ``max_writers`` (merged without a shuffle)."""
+    ((df.coalesce(max_writers) if max_writers else df).write.mode("overwrite")
      .option("truncate", True).option("batchsize", batch_size)
      .jdbc(url, table, properties=props or {}))

@@ -43,11 +43,21 @@ def test_centrality_matches_golden(edges):
     assert abs(sum(r.pagerank for r in got.values()) - 1.0) < 1e-9
 
 
-def test_betweenness_paths_agree(edges):
-    a = {r.cell_id: r.betweenness for r in graph._betweenness_bfs(edges).collect()}
-    b = {r.cell_id: r.betweenness for r in graph._betweenness_broadcast(graph.undirected(edges)).collect()}
-    assert a.keys() == b.keys()
-    assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+def test_betweenness_blocks_agree(edges):
+    whole = {r.cell_id: r.betweenness for r in graph.betweenness(edges).collect()}
+    many = {r.cell_id: r.betweenness for r in graph.betweenness(edges, block_work=7).collect()}
+    assert whole.keys() == many.keys()
+    assert all(abs(whole[k] - many[k]) < 1e-12 for k in whole)
+
+
+def test_betweenness_of_a_path_has_a_closed_form(spark):
+    n = 120
+    rows = [(f"p{i:04d}", f"p{i + 1:04d}") for i in range(n - 1)] + [(f"q{i}", "qhub") for i in range(40)]
+    got = {r.cell_id: r.betweenness for r in graph.betweenness(
+        spark.createDataFrame(rows, "src_cell_id string, dst_cell_id string"), normalized=False, block_work=5_000).collect()}
+    for i in range(n):
+        assert got[f"p{i:04d}"] == pytest.approx(i * (n - 1 - i))
+    assert got["qhub"] == pytest.approx(40 * 39 / 2) and got["q3"] == 0
 
 
 def test_lattice_reproduces_committed_edges(spark):
@@ -84,10 +94,3 @@ def test_sampled_betweenness_is_scaled(edges):
     exact = {r.cell_id: r.betweenness for r in graph.betweenness(edges).collect()}
     full = {r.cell_id: r.betweenness for r in graph.betweenness(edges, source_fraction=0.999999).collect()}
     assert exact.keys() == full.keys()
-
-
-def test_batched_sources_are_exact(edges):
-    one = {r.cell_id: r.betweenness for r in graph._betweenness_bfs(edges).collect()}
-    three = {r.cell_id: r.betweenness for r in graph._betweenness_bfs(edges, max_pairs=50).collect()}
-    assert one.keys() == three.keys()
-    assert all(abs(one[k] - three[k]) < 1e-12 for k in one)

@@ -73,6 +73,54 @@ def test_publish_table_and_normalize(spark):
 def test_cluster_conf_sizes_partitions():
     from cellgrid.session import cluster_conf
     c = cluster_conf(100 * 1024 ** 4, 8000)
-    assert int(c["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600        # about 128 MB each, no cap
     small = cluster_conf(10 * 1024 ** 3, 64)
     assert int(small["spark.sql.shuffle.partitions"]) == 128         # 2 per core floor
+
+
+def test_read_layer_keeps_declared_types(spark, tmp_path):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("missing", T.DoubleType()),
+                           T.StructField("region", T.StringType())])
+    spark.createDataFrame([(1, "007"), (2, "7")], "v int, region string").write.partitionBy("region").parquet(str(tmp_path / "t"))
+    got = R.read_layer(spark, str(tmp_path / "t"), schema, partitioned=True)
+    assert got.schema == schema
+    assert sorted((r.v, r.missing, r.region) for r in got.collect()) == [(1, None, "007"), (2, None, "7")]
+
+
+def test_metrics_document_is_extended_and_read_back(spark, tmp_path):
+    from cellgrid.sources import sinks as K
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    report = spark.createDataFrame([("0", 0.9, 0.8, 0.85, 90), ("1", 0.5, 0.4, 0.44, 10)],
+                                   "label string, precision double, recall double, f1_score double, support long")
+    K.write_metrics(K.metrics_document({"auc_roc": spark.sql("SELECT 0.75D AS auc_roc"), "report": K.report_part(report),
+                                        "features": K.features_part(spark, ["a", "b"])}), first)
+    point = spark.sql("SELECT 0.3D AS threshold, 0.5D AS precision, 0.6D AS recall, 0.55D AS f1")
+    K.write_metrics(K.extend_metrics(R.read_metrics(spark, first), {
+        "operating_point": point, "report_at_threshold": K.report_part(report.limit(1), "report_at_threshold")}), second)
+    m = R.read_metrics(spark, second).first()
+    assert m.auc_roc == 0.75 and m.features == ["a", "b"] and m.operating_point.threshold == 0.3
+    assert m.report["1"]["f1-score"] == 0.44 and set(m.report_at_threshold) == {"0"}
+
+
+def test_add_column_statements(spark):
+    from cellgrid.sources import sinks as K
+    df = spark.createDataFrame([(1, 2.0, True)], "a long, b double, c boolean")
+    assert K.add_column_statements(df, "t", {"a": "BIGINT"}) == [
+        'ALTER TABLE t ADD COLUMN IF NOT EXISTS "b" DOUBLE PRECISION', 'ALTER TABLE t ADD COLUMN IF NOT EXISTS "c" BOOLEAN']
+
+
+def test_coerce_rounds_halves_to_even(spark):
+    from cellgrid.sources import sinks as K
+    df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-0.5,)], "x double")
+    assert [r.x for r in K.coerce_types(df, {"x": "bigint"}).collect()] == [0, 2, 2, 0]
+
+
+def test_fingerprint_follows_the_files_of_a_folder(spark, tmp_path):
+    from cellgrid.session import input_fingerprint
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    before = input_fingerprint(spark, path)
+    assert before == input_fingerprint(spark, path)
+    spark.range(5).write.mode("append").parquet(path)
+    assert before != input_fingerprint(spark, path)

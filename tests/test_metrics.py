@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellgrid.operators import evaluation as EV
 
@@ -98,3 +100,24 @@ def test_single_class_and_empty_inputs_do_not_fail(spark):
     empty = one.limit(0)
     rep = {r.label: r for r in EV.classification_report(empty).collect()}
     assert rep["weighted avg"].precision is None and rep["accuracy"].support == 0
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_auc_of_many_distinct_scores_is_exact_and_repeatable(spark, reuse):
+    """400,000 distinct scores over many ranges, with and without exchange reuse, three runs each."""
+    before = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(400_000, numPartitions=16).select(
+            (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) + F.col("id") * 1e-13).alias("risk_score"), "id")
+        df = df.withColumn("y_next_anomaly", (F.rand(3) < F.col("risk_score") * 0.5).cast("int")).checkpoint()
+        pdf = df.toPandas().sort_values("risk_score")
+        y = pdf.y_next_anomaly.to_numpy()
+        below = np.cumsum(1 - y)
+        exact = float((y * below).sum()) / (y.sum() * (1 - y).sum())
+        for _ in range(3):
+            assert EV.auc_roc(df).first().auc_roc == pytest.approx(exact, abs=1e-9)
+        curve = EV.pr_curve(df)
+        assert curve.agg(F.max("recall")).first()[0] == 1.0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)

@@ -64,3 +64,32 @@ def test_forecast_chain_falls_back_for_short_series(spark):
     assert len(pred) == 12 and all(0.0 <= r.yhat_lower <= r.yhat <= r.yhat_upper <= 100.0 for r in pred)
     summ = {r.cell_id: r for r in FC.forecast_summary(FC.forecast(df, horizon=6)).collect()}
     assert summ["short"].n_forecast == 6 and summ["short"].n_observed == 5
+
+
+def test_no_series_past_the_gate_is_lost(spark):
+    rows = [(f"c{n}", T0 + dt.timedelta(days=i), 50.0 + i % 7) for n in (5, 9, 13, 14, 30) for i in range(n)]
+    df = spark.createDataFrame(rows, "cell_id string, ds timestamp_ntz, y double")
+    out = FC.forecast(df, horizon=3, step="day", methods=("fourier", "hw"), season=7, hist=4, min_points=9)
+    models = {}
+    for r in out.collect():
+        models.setdefault(r.cell_id, []).append(r.model)
+    assert set(models) == {"c9", "c13", "c14", "c30"}          # c5 is below the gate
+    assert {r.cell_id for r in FC.rejected_series(out).collect()} == {"c9", "c13"}
+    assert all(sum(m not in ("observed", "rejected") for m in models[c]) == 3 for c in ("c14", "c30"))
+    assert FC.breach_probability(out, 10.0, 3).count() == 2
+    assert {r.cell_id for r in SE.short_series(df, 9).collect()} == {"c5"}
+
+
+def test_errors_in_a_fit_are_not_swallowed(spark, monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(FC, "_hw_fit", lambda *a: 1 / 0)
+    fit = FC.make_forecaster("cell_id", 2, "day", ("hw", "naive"), 7, None)
+    with pytest.raises(ZeroDivisionError):
+        fit(pd.DataFrame({"cell_id": ["a"] * 20, "ds": [T0 + dt.timedelta(days=i) for i in range(20)], "y": [1.0] * 20}))
+
+
+def test_weekly_terms_are_a_choice_and_tagged():
+    y = 50 + np.sin(np.arange(24 * 15) / 3)
+    with pytest.raises(FC.TooShort):
+        FC._fourier_fit(y[:24 * 13], 4, 24, 6, None, weekly=True)
+    assert len(FC._fourier_fit(y, 4, 24, 6, None, weekly=True)[0]) == 4
