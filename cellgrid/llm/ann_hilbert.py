@@ -30,6 +30,7 @@ TIE_BITS = 16
 WINDOW = 0.11
 BLOCK_ROWS = 2048
 LEAST_BLOCKS = 24
+LEAST_ROWS = 128
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -154,12 +155,13 @@ def nearest(vectors: DataFrame, k: int = 5, query_step: int = 50, window: float
     rows = good.filter(F.size("vector") == common["d"])
     keyed = rows.mapInArrow(_orders(seed), T.StructType([*rows.schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))])).checkpoint()
 
-    blocks = max(LEAST_BLOCKS, -(-int(common["c"]) // BLOCK_ROWS))
+    # blocks fine enough for the window, but of no less than LEAST_ROWS rows: a small table is one block
+    blocks = max(-(-int(common["c"]) // BLOCK_ROWS), min(LEAST_BLOCKS, int(common["c"]) // LEAST_ROWS), 1)
     reach = int(np.ceil(window * blocks))
     # the cut points of each order: one row of CURVES * (blocks - 1) numbers
     shares = [i / blocks for i in range(1, blocks)]
-    cuts = keyed.agg(*[F.percentile_approx(F.col("keys")[c], shares, 10_000).alias(f"c{c}") for c in range(CURVES)]).first()
-    shared = spark.sparkContext.broadcast([np.array(cuts[f"c{c}"], np.int64) for c in range(CURVES)])
+    cuts = keyed.agg(*[F.percentile_approx(F.col("keys")[c], shares or [0.5], 10_000).alias(f"c{c}") for c in range(CURVES)]).first()
+    shared = spark.sparkContext.broadcast([np.array(cuts[f"c{c}"][:len(shares)], np.int64) for c in range(CURVES)])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

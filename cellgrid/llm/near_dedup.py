@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import connected_components
 from ..session import ensure_checkpoint_dir
 from .bytescan import SPACED, mix, range_hashes, slices, utf8, words
-from .components import connected_components
 
 SHINGLE = 5
 PERCENT = 80

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import (ann_hilbert, chat_format, decontaminate, line_dedup, near_dedup, pii, sentencepiece_codec, token_count, toxicity,
                url_filter)
 
@@ -19,6 +20,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

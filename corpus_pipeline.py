@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellgrid.llm import decontaminate, line_dedup, near_dedup, sentencepiece_codec, toxicity
 from cellgrid.llm.queries import tokenizer_path
-from cellgrid.session import scratch_path
+from cellgrid.session import scratch_path, ship_package
 
 
 def _with_length(docs: DataFrame) -> DataFrame:
@@ -22,6 +22,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models do not reject; they learn from the labels of the documents they are given."""
+    ship_package(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.remove_toxic(docs, model)
 
