@@ -30,10 +30,6 @@ def grain_step(grain: str) -> str:
     return {"hour": "INTERVAL 1 HOUR", "day": "INTERVAL 1 DAY"}[grain]
 
 
-def grain_seconds(grain: str) -> int:
-    return {"hour": 3600, "day": 86400}[grain]
-
-
 def clip(c, lo: float | None, hi: float | None) -> Column:
     """Clip to [lo, hi]; NULL stays NULL (least/greatest would skip a NULL argument)."""
     c = col_(c)

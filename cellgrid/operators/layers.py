@@ -43,6 +43,13 @@ def silver(bronze: DataFrame, latency_max: float = 60.0, prb_max: float = 85.0)
     )
 
 
+def gold_aggregates(accuracy: int = 10000) -> list[F.Column]:
+    """The rollup's aggregates, for the batch and the streaming job."""
+    latency = [F.avg("latency_ms").alias("latency_ms_avg"), F.percentile_approx("latency_ms", 0.95, accuracy).alias("latency_ms_p95")]
+    flags = [F.avg(F.col("anomaly_flag").cast("double")).alias("anomaly_rate"), F.max("anomaly_flag").alias("anomaly_any")]
+    return [F.count(F.lit(1)).alias("n_samples"), *latency, *[F.avg(src).alias(name) for name, src in GOLD_AVG[1:]], *flags]
+
+
 def gold(silver_df: DataFrame, grain: str = "hour", accuracy: int = 10000, label: bool = True,
          strict_label: bool = False) -> DataFrame:
     """Per (cell, region, period) rollup: count, 8 means, p95 latency, flag rate, flag max.
@@ -52,13 +59,7 @@ def gold(silver_df: DataFrame, grain: str = "hour", accuracy: int = 10000, label
     ``grain="day"`` keeps the same columns, ``ts_hour`` then holds the day start.
     """
     df = silver_df.withColumn("ts_hour", trunc_ntz("ts", grain))
-    aggs = [F.count(F.lit(1)).alias("n_samples"),
-            F.avg("latency_ms").alias("latency_ms_avg"),
-            F.percentile_approx("latency_ms", 0.95, accuracy).alias("latency_ms_p95")]
-    aggs += [F.avg(src).alias(name) for name, src in GOLD_AVG[1:]]
-    aggs += [F.avg(F.col("anomaly_flag").cast("double")).alias("anomaly_rate"),
-             F.max("anomaly_flag").alias("anomaly_any")]
-    out = (df.groupBy("cell_id", "region", "ts_hour").agg(*aggs)
+    out = (df.groupBy("cell_id", "region", "ts_hour").agg(*gold_aggregates(accuracy))
            .withColumn("date", F.to_date("ts_hour"))
            .withColumn("hour", F.hour("ts_hour")))
     if label:

@@ -85,9 +85,3 @@ def schema_drift(df: DataFrame, contract: T.StructType, check_values: bool = Fal
     pairs = ", ".join(f"'{n}', `{n}`" for n, _ in changed)
     long = counts.select(F.expr(f"stack({len(changed)}, {pairs}) AS (column, n_unfit)"))
     return out.join(long, "column", "left")
-
-
-def required_columns(df: DataFrame, need: list[str]) -> None:
-    missing = [c for c in need if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing required columns {missing}; got {df.columns}")

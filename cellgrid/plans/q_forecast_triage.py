@@ -183,7 +183,48 @@ def prb_model_series(spark, sf_dir):
 SEASON = 7  # days; every cell has about 27, and both seasonal methods need two seasons
 
 
-@query("forecast_hw")
+# Holt-Winters in SQL: every grid point of every cell steps through time in a recursive query
+cte("gold_day_bounded", f"SELECT * REPLACE ({_clip_sql('prb_util_pct_avg')} AS prb_util_pct_avg) FROM gold_day", "gold_day")
+_interp_ctes("interp_day_bounded", "gold_day_bounded", "day")
+cte("prb_series", """
+SELECT cell_id, ds, least(greatest(y, quantile_cont(y, 0.01) OVER (PARTITION BY cell_id)),
+                          quantile_cont(y, 0.99) OVER (PARTITION BY cell_id)) AS y
+FROM interp_day_bounded""", "interp_day_bounded")
+cte("prb_lists", "SELECT cell_id, list(y ORDER BY ds) AS ys, count(*) AS n, max(ds) AS last_ds FROM prb_series GROUP BY cell_id", "prb_series")
+_GRID = [(a_, b_, g_) for a_ in (0.1, 0.3, 0.5, 0.8) for b_ in (0.01, 0.1, 0.3) for g_ in (0.05, 0.2, 0.5)]
+cte("hw_grid", "SELECT * FROM (VALUES " + ", ".join(f"({i}, {a_}::DOUBLE, {b_}::DOUBLE, {g_}::DOUBLE)" for i, (a_, b_, g_) in enumerate(_GRID))
+    + ") v(k, a, b, g)")
+cte("hw_start", f"""
+SELECT cell_id, k, a, b, g, ys, n, last_ds, list_sum(ys[1:{SEASON}]) / {SEASON} AS lev,
+  (list_sum(ys[{SEASON + 1}:{2 * SEASON}]) / {SEASON} - list_sum(ys[1:{SEASON}]) / {SEASON}) / {SEASON} AS tr
+FROM prb_lists, hw_grid WHERE n >= {2 * SEASON}""", "prb_lists", "hw_grid")
+cte("hw_state", f"""
+SELECT cell_id, k, 0, lev, tr, list_transform(ys[1:{SEASON}], lambda y: y - lev), 0.0::DOUBLE FROM hw_start
+UNION ALL
+SELECT cell_id, k, t + 1, new_lev, b * (new_lev - lev) + (1 - b) * tr,
+  list_concat(sea[2:], [g * (y - new_lev) + (1 - g) * sea[1]]), sse + (lev + tr + sea[1] - y) * (lev + tr + sea[1] - y)
+FROM (SELECT s.*, p.a, p.b, p.g, p.ys[s.t + 1] AS y, p.a * (p.ys[s.t + 1] - s.sea[1]) + (1 - p.a) * (s.lev + s.tr) AS new_lev
+      FROM hw_state s JOIN hw_start p ON p.cell_id = s.cell_id AND p.k = s.k WHERE s.t < p.n) step""",
+    "hw_start", cols="cell_id, k, t, lev, tr, sea, sse", recursive=True)
+cte("hw_best", """
+SELECT s.*, p.n, p.last_ds FROM hw_state s JOIN hw_start p ON p.cell_id = s.cell_id AND p.k = s.k AND s.t = p.n
+QUALIFY row_number() OVER (PARTITION BY s.cell_id ORDER BY s.sse, s.k) = 1""", "hw_state")
+cte("hw_pred", f"""
+SELECT cell_id, last_ds + h * INTERVAL 1 DAY AS ds, lev + h * tr + sea[(h - 1) % {SEASON} + 1] AS yhat, 1.28 * sqrt(sse / n) AS half,
+  'holt_winters' AS model FROM hw_best, range(1, {HORIZON + 1}) r(h)
+UNION ALL
+SELECT cell_id, last_ds + h * INTERVAL 1 DAY, ys[n], 0.0, 'naive_last'
+FROM prb_lists, range(1, {HORIZON + 1}) r(h) WHERE n >= {SEASON} AND n < {2 * SEASON}""", "hw_best", "prb_lists")
+cte("hw_frame", f"""
+SELECT cell_id, ds, y, CAST(NULL AS DOUBLE) AS yhat, CAST(NULL AS DOUBLE) AS yhat_lower, CAST(NULL AS DOUBLE) AS yhat_upper, 'observed' AS model
+FROM prb_series SEMI JOIN (SELECT cell_id FROM prb_lists WHERE n >= {SEASON}) USING (cell_id)
+QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ds DESC) <= {HIST_DAYS}
+UNION ALL
+SELECT cell_id, ds, NULL, {_clip_sql('yhat')}, {_clip_sql('yhat - half')}, {_clip_sql('yhat + half')}, model FROM hw_pred""",
+    "hw_pred", "prb_series", "prb_lists")
+
+
+@query("forecast_hw", sql(rounded(FC_COLS, FC_DOUBLES, "hw_frame"), "hw_frame"))
 def forecast_hw(spark, sf_dir):
     """additive Holt-Winters (season 7 days) for every cell, fallback to naive; bounded 0..100."""
     return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "day", ("hw", "naive"), SEASON, HIST_DAYS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# fixed values: column names and order of the layers and of the warehouse contracts
 KPI_COLUMNS = ["rsrp_dbm", "rsrq_db", "sinr_db", "prb_util_pct", "thrpt_mbps", "drop_rate_pct",
                "latency_ms", "jitter_ms", "pkt_loss_pct"]
 
@@ -43,10 +44,6 @@ GOLD = T.StructType(
 EDGES = T.StructType([T.StructField("src_cell_id", T.StringType()),
                       T.StructField("dst_cell_id", T.StringType())])
 
-CENTRALITY = T.StructType([T.StructField("cell_id", T.StringType()),
-                           T.StructField("neighbor_degree", T.LongType()),
-                           T.StructField("pagerank", T.DoubleType()),
-                           T.StructField("betweenness", T.DoubleType())])
 
 # Warehouse contracts (declared DDL of the reference's warehouse side).
 FACT_CELL_HOUR = T.StructType(
@@ -77,14 +74,6 @@ GOLD_WAREHOUSE = T.StructType(
         "pkt_loss_pct_avg", "drop_rate_pct_avg", "sinr_db_avg", "rsrp_dbm_avg", "anomaly_rate"]]
     + [T.StructField(c, T.ByteType()) for c in ["anomaly_any", "hour", "y_next_anomaly"]])
 
-FORECAST = T.StructType([T.StructField("ds", T.TimestampNTZType()),
-                         T.StructField("y", T.DoubleType()),
-                         T.StructField("yhat", T.DoubleType()),
-                         T.StructField("yhat_lower", T.DoubleType()),
-                         T.StructField("yhat_upper", T.DoubleType()),
-                         T.StructField("model", T.StringType()),
-                         T.StructField("cell_id", T.StringType()),
-                         T.StructField("region", T.StringType())])
 
 # Model features (fixed values: names and order as the reference's feature list).
 BASE_FEATURES = ["latency_ms_avg", "latency_ms_p95", "prb_util_pct_avg", "thrpt_mbps_avg",
