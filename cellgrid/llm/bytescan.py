@@ -77,12 +77,16 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: i
     """64-bit hash of data[starts[i]:ends[i]] for every i."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    n = len(data)
-    powers = np.resize(_powers(_BASE)[:_BLOCK], n)
-    if n > _BLOCK:
-        powers = powers * np.repeat(_power_at(_BASE, np.arange(0, n, _BLOCK)), _BLOCK)[:n]
+    n, scale, powers = len(data), 1, _powers(_BASE)
     running = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1 + salt)) * powers, out=running[1:])
+    for at in range(0, n, _BLOCK):  # block by block, so that the work stays in cache
+        part = data[at:at + _BLOCK].astype(np.uint64)
+        part += np.uint64(1 + salt)
+        part *= powers[:len(part)]
+        part *= np.uint64(scale)
+        part[:1] += running[at:at + 1]
+        np.cumsum(part, out=running[at + 1:at + 1 + len(part)])
+        scale = scale * pow(_BASE, _BLOCK, 1 << 64) % (1 << 64)
     h = (running[ends] - running[starts]) * _power_at(_INVERSE, starts)
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 

@@ -8,7 +8,8 @@ meet.  Two sets of similarity 0.8 miss each other in all bands with a probabilit
 Candidates are stars: each member of a bucket is paired with two centres of the bucket, the member that shares the most
 buckets with others and a random one; the number of pairs is linear in the members.  Pairs are confirmed on the full
 sets.  A star may leave members apart that only resemble each other, so members of a bucket that
-are still in different components are then paired with each other; those already connected never are.
+are still in different components are then paired with each other; those already connected never are, and in large
+buckets only those that still share enough shingles with any other member (an exact bound).
 
 Sets are never gathered by bucket: tasks see bucket keys and ids, and texts meet pair by pair.
 """
@@ -31,6 +32,8 @@ SHINGLE = 5
 PERCENT = 80
 ROWS, BANDS = 5, 48
 BINS = ROWS * BANDS
+#: buckets up to this size pair their members directly, larger ones first drop those that can have no link
+DIRECT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
 _EDGES = np.array([-(-(k << 64) // BINS) for k in range(BINS)], np.uint64)
 
@@ -159,13 +162,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     placed = (met.join(component, F.col("id") == F.col("vertex"), "left")
               .select("key", "id", "n", F.coalesce("component", "id").alias("k")))
-    split = placed.groupBy("key").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).filter("lo != hi").select("key")
-    open_ = placed.join(split, "key")
-    other = open_.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("k").alias("k2"))
-    rest = (open_.join(other, (open_["key"] == other["key"]) & (F.col("id") < F.col("id2")) & (F.col("k") != F.col("k2"))
-                       & alike(F.col("n"), F.col("n2")))
-            .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
-            .join(first, ["a", "b"], "left_anti"))
+    split = (placed.groupBy("key").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("size"), F.min("n").alias("least"))
+             .filter("lo != hi").select("key", "size", "least"))
+    open_ = placed.join(split, "key").checkpoint()
+    few = _apart(open_.filter(F.col("size") <= DIRECT).withColumn("e", F.col("n")), percent)
+    many = _apart(_can_link(open_.filter(F.col("size") > DIRECT), texts, shingle, percent), percent)
+    rest = few.unionAll(many).distinct().join(first, ["a", "b"], "left_anti")
     more = _links(rest, texts, shingle, percent)
     edges = links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     final = connected_components(edges)
@@ -177,6 +179,40 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _apart(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket in different components whose sizes, and shared shingles at most, still allow a link."""
+    x = members.select("key", "id", "n", "e", "k")
+    y = x.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("e").alias("e2"), F.col("k").alias("k2"))
+    enough = ((F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
+              & (F.least("e", "e2") * (100 + percent) >= (F.col("n") + F.col("n2")) * percent))
+    return (x.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("k") != F.col("k2")) & enough)
+            .select(F.col("id").alias("a"), F.col("id2").alias("b")))
+
+
+def _can_link(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Members of large buckets with ``e``, the shingles that any other of them has too, as far as that leaves a link possible.
+
+    No two sets share more than the smaller ``e``.  A variant that its centre missed usually has too many shingles of its own
+    to be like any other, so of a large group of variants few are left to be paired.  The work is linear in their shingles.
+    """
+    ids = members.select("id").distinct()
+    one = texts.join(ids, "id").mapInArrow(_explode_shingles(shingle), T.StructType([texts.schema["id"], T.StructField("s", T.LongType())])).distinct()
+    shared = one.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
+    e = one.join(shared, "s").groupBy("id").agg(F.count("*").alias("e"))
+    nearest = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    return members.join(e, "id").filter(F.col("e") * (100 + percent) >= (F.col("n") + nearest) * percent)
+
+
+def _explode_shingles(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text"):
+                sets = shingle_sets(b.column("text"), size)
+                rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "s"])
+    return run
+
+
 def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))

@@ -27,6 +27,20 @@ def test_components_equal_brute_force(spark, k):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+def test_a_large_group_of_variants(spark, monkeypatch):
+    monkeypatch.setattr(N, "DIRECT", 4)
+    rnd, base = random.Random(9), [f"w{i}" for i in range(90)]
+    rows = []
+    for d in range(150):
+        w = list(base)
+        for at in rnd.sample(range(90), rnd.randrange(0, 9)):
+            w[at] = f"e{d}x{at}" if rnd.random() < 0.8 else f"shared{at % 7}"
+        rows.append((d + 1, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+    want, _ = components_of(rows, 2)
+    assert got == want and 1 < len(set(want.values())) < 100
+
+
 def test_odd_rows_and_keep_one(odd_docs, no_docs):
     out = N.near_duplicates(odd_docs).collect()
     assert len(out) == 9
