@@ -246,13 +246,15 @@ def forecast_latency(spark, sf_dir):
     return FC.forecast(s, "cell_id", HIST_DAYS, "day", ("fourier", "hw"), SEASON, HIST_DAYS, None, min_points=SEASON)
 
 
+FULL_MONTH = 30
+
 cte("day_points", "SELECT cell_id, count(*) AS n FROM interp_day GROUP BY cell_id", "interp_day")
 
 
-@query("forecast_rejected", sql(f"SELECT cell_id, n AS n_points FROM day_points WHERE n < {4 * SEASON - 1}", "day_points"))
+@query("forecast_rejected", sql(f"SELECT cell_id, n AS n_points FROM day_points WHERE n < {FULL_MONTH}", "day_points"))
 def forecast_rejected(spark, sf_dir):
-    """cells below a gate of 27 daily points, which part of the cells miss, with their lengths."""
-    return SE.short_series(daily_series(spark, sf_dir), 4 * SEASON - 1)
+    """cells below a gate of 30 daily points, which part of the cells miss, with their lengths."""
+    return SE.short_series(daily_series(spark, sf_dir), FULL_MONTH)
 
 
 # ---- alert triage on the latest scores (risk >= 0.5) ----
