@@ -8,8 +8,8 @@ meet.  Two sets of similarity 0.8 miss each other in all bands with a probabilit
 Candidates are stars: each member of a bucket is paired with two centres of the bucket, the member that shares the most
 buckets with others and a random one; the number of pairs is linear in the members.  Pairs are confirmed on the full
 sets.  A star may leave members apart that only resemble each other, so members of a bucket that
-are still in different components are then paired with each other; those already connected never are, and in large
-buckets only those that still share enough shingles with any other member (an exact bound).
+are still in different components are then compared with each other; those already connected never are.  Small buckets
+do that by a join, large ones block by block, where only links come out.
 
 Sets are never gathered by bucket: tasks see bucket keys and ids, and texts meet pair by pair.
 """
@@ -32,8 +32,9 @@ SHINGLE = 5
 PERCENT = 80
 ROWS, BANDS = 5, 48
 BINS = ROWS * BANDS
-#: buckets up to this size pair their members directly, larger ones first drop those that can have no link
+#: buckets up to this size pair their open members by a join, larger ones compare them block by block
 DIRECT = 32
+BLOCK = 1024
 _C = np.uint64(0x9E3779B97F4A7C15)
 _EDGES = np.array([-(-(k << 64) // BINS) for k in range(BINS)], np.uint64)
 
@@ -165,10 +166,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     split = (placed.groupBy("key").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("size"), F.min("n").alias("least"))
              .filter("lo != hi").select("key", "size", "least"))
     open_ = placed.join(split, "key").checkpoint()
-    few = _apart(open_.filter(F.col("size") <= DIRECT).withColumn("e", F.col("n")), percent)
-    many = _apart(_can_link(open_.filter(F.col("size") > DIRECT), texts, shingle, percent), percent)
-    rest = few.unionAll(many).distinct().join(first, ["a", "b"], "left_anti")
-    more = _links(rest, texts, shingle, percent)
+    few = _apart(open_.filter(F.col("size") <= DIRECT), percent).distinct().join(first, ["a", "b"], "left_anti")
+    many = open_.filter(F.col("size") > DIRECT).join(centres.select("key", F.col("c1.id").alias("c")), "key")
+    more = _links(few, texts, shingle, percent).unionAll(_against_the_rest(many, texts, shingle, percent))
     edges = links.unionAll(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     final = connected_components(edges)
 
@@ -180,36 +180,60 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 
 def _apart(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components whose sizes, and shared shingles at most, still allow a link."""
-    x = members.select("key", "id", "n", "e", "k")
-    y = x.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("e").alias("e2"), F.col("k").alias("k2"))
-    enough = ((F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent)
-              & (F.least("e", "e2") * (100 + percent) >= (F.col("n") + F.col("n2")) * percent))
-    return (x.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("k") != F.col("k2")) & enough)
+    """Pairs of a bucket in different components whose sizes allow a link."""
+    x = members.select("key", "id", "n", "k")
+    y = x.select(F.col("key").alias("key2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("k").alias("k2"))
+    alike = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    return (x.join(y, (F.col("key") == F.col("key2")) & (F.col("id") < F.col("id2")) & (F.col("k") != F.col("k2")) & alike)
             .select(F.col("id").alias("a"), F.col("id2").alias("b")))
 
 
-def _can_link(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Members of large buckets with ``e``, the shingles that any other of them has too, as far as that leaves a link possible.
+def _against_the_rest(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between members of large buckets that their centre left in different components.
 
-    No two sets share more than the smaller ``e``.  A variant that its centre missed usually has too many shingles of its own
-    to be like any other, so of a large group of variants few are left to be paired.  The work is linear in their shingles.
+    Members of buckets with the same centre ``c`` form a group.  Those outside its largest component are the queries; they are
+    compared with every member in blocks of at most BLOCK queries and BLOCK members, a block being one task's work, and
+    only links come out.  Queries are few where a centre ties most of its group together.
     """
-    ids = members.select("id").distinct()
-    one = texts.join(ids, "id").mapInArrow(_explode_shingles(shingle), T.StructType([texts.schema["id"], T.StructField("s", T.LongType())])).distinct()
-    shared = one.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s")
-    e = one.join(shared, "s").groupBy("id").agg(F.count("*").alias("e"))
-    nearest = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-    return members.join(e, "id").filter(F.col("e") * (100 + percent) >= (F.col("n") + nearest) * percent)
-
-
-def _explode_shingles(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text"):
-                sets = shingle_sets(b.column("text"), size)
-                rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(rows)), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "s"])
+    m = members.select("c", "id", "k").distinct()
+    parts = m.groupBy("c", "k").agg(F.count("*").alias("s"))
+    main = parts.groupBy("c").agg(F.max_by("k", F.struct("s", "k")).alias("main"), F.sum("s").alias("all"), F.max("s").alias("most"))
+    sized = m.join(main, "c").withColumns({
+        "mb": F.ceil(F.col("all") / BLOCK).cast("int"), "qb": F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"),
+        "h": F.xxhash64("id")})
+    count = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    asked = sized.filter(F.col("k") != F.col("main")).select(
+        "c", count("mb").alias("mb"), F.pmod("h", "qb").cast("int").alias("qb"), "id", "k", F.lit(True).alias("asks"))
+    all_ = sized.filter("qb > 0").select(
+        "c", F.pmod("h", "mb").cast("int").alias("mb"), count("qb").alias("qb"), "id", "k", F.lit(False).alias("asks"))
+    work = asked.unionByName(all_).join(texts, "id")
+    result = T.StructType([T.StructField("a", texts.schema["id"].dataType), T.StructField("b", texts.schema["id"].dataType)])
+    return work.groupBy("c", "mb", "qb").applyInArrow(_compare_block(shingle, percent, result), result)
+
+
+def _compare_block(size: int, percent: int, result: T.StructType):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        asks = np.asarray(table.column("asks"))
+        ids, part = table.column("id").to_pylist(), table.column("k").to_pylist()
+        sets = shingle_sets(table.column("text").combine_chunks(), size)
+        rows = np.flatnonzero(~asks)
+        out: list[tuple] = []
+        if len(rows) and asks.any():
+            kinds, code = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True)
+            length = np.array([len(sets[r]) for r in rows])
+            starts = np.cumsum(length) - length
+            for q in np.flatnonzero(asks).tolist():
+                at = np.searchsorted(kinds, sets[q])
+                at[at == len(kinds)] = 0
+                mine = np.zeros(len(kinds), np.int32)
+                mine[at[kinds[at] == sets[q]]] = 1
+                common = np.add.reduceat(mine[code], starts)
+                near = 100 * common >= percent * (length + len(sets[q]) - common)
+                out += [tuple(sorted((ids[q], ids[rows[j]]))) for j in np.flatnonzero(near).tolist() if part[rows[j]] != part[q]]
+        a, b = zip(*out, strict=True) if out else ((), ())
+        kind = table.schema.field("id").type
+        return pa.table([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
     return run
 
 
