@@ -368,6 +368,10 @@ def find_spans(docs: DataFrame, field: Field, text_col: str = "text", result: st
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(result, _SPANS)]))
 
 
+def _of_kind(spans, kind: str):
+    return F.filter(spans, lambda x: x["kind"] == kind)
+
+
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all)."""
     narrow = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -375,5 +379,5 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     base = F.filter("pii", lambda x: x["base"])
     text = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     return found.select(
-        "doc_id", *[F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[F.size(_of_kind(base, k)).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("pii")).alias("spans"))

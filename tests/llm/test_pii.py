@@ -115,3 +115,16 @@ def test_report_over_odd_rows(odd_docs, no_docs):
     out = P.report(odd_docs).collect()
     assert len(out) == 9 and all(r.n_email == 0 and r.spans == "" for r in out)
     assert P.report(no_docs).count() == 0
+
+
+def test_report_counts_base_spans_by_kind(spark):
+    import hashlib
+    texts = {1: "a@b.co and c.d@e.org from 10.0.0.1", 2: "card 4111 1111 1111 1111, call +1 555 123 4567", 3: "none"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r.doc_id: r for r in P.report(docs).collect()}
+    for i, t in texts.items():
+        base = sorted(brute(t))
+        assert [out[i][f"n_{k}"] for k in P.KINDS] == [sum(b[0] == j for b in base) for j in range(4)]
+        joined = ",".join(f"{P.KINDS[k]}:{a}:{b}" for k, a, b in base)
+        assert out[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(out[i].spans.split(","))
