@@ -12,6 +12,12 @@ What lies between two boundaries is a chunk.  Chunks of two lines or more and ``
 lines of ``long_line`` words, are removed wherever they repeat, all but the first occurrence (smallest
 id, then text hash, then line); equal hashes only nominate, the bytes are compared before anything goes.
 
+With ``whole_runs`` a repeated run is a stretch of neighbouring pairs that each occur at two places or more, and the ``min_words``
+are those of the whole run.  Pairs of such runs belong to one chunk if each has the other as its neighbour wherever it
+stands, so a chunk is the same in all its places, whatever copies of its surroundings there are; chunks cover the run, and each
+goes wherever it repeats, however short.  The corpus pipeline uses this rule; ``op1_line_dedup`` the one above, which
+``ORACLE_SQL`` restates.
+
 Only hashes and positions are shuffled to find the chunks.  Texts move twice: to cut out the nominated
 pieces, and to drop the confirmed lines.  Frequent hashes are counted with partial aggregation; the joins
 that bring counts and first occurrences back have one row per hash on one side, so a hot hash can be split.
@@ -55,6 +61,17 @@ def _grams(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> DataF
     return hashed.select("id", *_KEY, F.explode(F.concat(numbered, single)).alias("x")).select("id", *_KEY, "x.*")
 
 
+def _nominated(multi: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The chunks and long lines that occur more than once, with their first occurrence marked."""
+    single = repeated.filter("kind = 1").select(
+        *_KEY, "id", F.col("at").alias("first"), F.col("at").alias("last"), F.concat(F.lit("1"), F.hex("g")).alias("hash"))
+    chunks = multi.unionByName(single)
+    firsts = (chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "_t", "_i", "first")).alias("o"))
+              .filter("n > 1").select("hash", "o"))
+    here = F.struct("id", "_t", "_i", "first")
+    return chunks.join(firsts, "hash").select("id", *_KEY, "first", "last", "hash", here.eqNullSafe(F.col("o")).alias("is_first"))
+
+
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
     """Chunks whose hash occurs more than once: (id, _i, _t, first line, last line, hash, is_first)."""
@@ -77,18 +94,53 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
                                                  lambda p: F.hex(p["g"])), "")).alias("hash"))
              .filter(F.col("words") >= min_words).drop("run", "words"))
-    single = repeated.filter("kind = 1").select(
-        *_KEY, "id", F.col("at").alias("first"), F.col("at").alias("last"), F.concat(F.lit("1"), F.hex("g")).alias("hash"))
-    chunks = multi.unionByName(single)
-    firsts = (chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "_t", "_i", "first")).alias("o"))
-              .filter("n > 1").select("hash", "o"))
-    here = F.struct("id", "_t", "_i", "first")
-    return chunks.join(firsts, "hash").select("id", *_KEY, "first", "last", "hash", here.eqNullSafe(F.col("o")).alias("is_first"))
+    return _nominated(multi, repeated)
+
+
+def _repeated(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_line: int) -> DataFrame:
+    """Grams that occur at two places or more; the pairs only where their whole run has ``min_words`` words."""
+    grams = _grams(docs, id_col, text_col, long_line).withColumn("here", F.xxhash64(*_KEY, "at"))
+    # rows that agree in id and text are one place
+    places = grams.groupBy("kind", "g").agg(F.min("here").alias("lo"), F.max("here").alias("hi")).filter("lo < hi").select("kind", "g")
+    repeated = grams.join(places, ["kind", "g"]).repartition(*_KEY).dropDuplicates([*_KEY, "kind", "at"])
+    w = Window.partitionBy(*_KEY, "kind").orderBy("at")
+    opens = F.coalesce(F.lag("at").over(w) != F.col("at") - 1, F.lit(True))
+    numbered = repeated.withColumn("run", F.sum(opens.cast("int")).over(w))
+    whole = Window.partitionBy(*_KEY, "kind", "run")
+    words = F.sum("w1").over(whole) + F.max_by("w2", "at").over(whole)
+    return numbered.withColumn("words", words).filter((F.col("kind") == 1) | (F.col("words") >= min_words)).drop("run", "words", "w1", "w2")
+
+
+def run_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
+    """As ``repeated_chunks``, by the rule of whole runs."""
+    repeated = _repeated(docs, id_col, text_col, min_words, long_line)
+    w = Window.partitionBy(*_KEY).orderBy("at")
+    near = lambda c, d: F.when(F.lag("at", d).over(w) == F.col("at") - d, F.lag(c, d).over(w))
+    pairs = (repeated.filter("kind = 2").drop("kind", "here").withColumn("e", F.xxhash64("g"))
+             .withColumns({"e0": F.coalesce(near("e", 1), F.lit(0)), "e1": F.coalesce(near("e", -1), F.lit(0))}))
+    # a pair is bound to its neighbour if it has the same one wherever it stands
+    one = lambda c: (F.min(c) == F.max(c)) & (F.min(c) != 0)
+    binds = pairs.groupBy("g").agg(one("e0").alias("left"), one("e1").alias("right"))
+    bound = pairs.join(binds, "g").withColumns({"right0": near("right", 1), "left1": near("left", -1)})
+    opens = F.coalesce(~(F.col("left") & F.col("right0")), F.lit(True))
+    # the line where two chunks meet goes to the one that stands in more places; to both if neither has all places of the other
+    ends = bound.withColumns({
+        "chunk": F.sum(opens.cast("int")).over(w),
+        "skip0": F.coalesce(F.col("left") & ~F.col("right0"), F.lit(False)).cast("int"),
+        "skip1": F.coalesce(F.col("right") & ~F.col("left1"), F.lit(False)).cast("int")})
+    multi = (ends.groupBy(*_KEY, "chunk")
+             .agg(F.min("id").alias("id"), (F.min("at") + F.min_by("skip0", "at")).alias("first"),
+                  (F.max("at") + 1 - F.max_by("skip1", "at")).alias("last"),
+                  F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
+                                                 lambda p: F.hex(p["g"])), "")).alias("hash"))
+             .filter("first <= last").drop("chunk"))
+    return _nominated(multi, repeated)
 
 
-def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_runs: bool = False, **options) -> DataFrame:
     """Line numbers to remove per document key (_i, _t), confirmed byte by byte."""
-    chunks = repeated_chunks(docs, id_col, text_col, **options)
+    chunks = (run_chunks if whole_runs else repeated_chunks)(docs, id_col, text_col, **options)
     texts = _keyed(docs.select(id_col, text_col), id_col, text_col).select(*_KEY, F.col(f"`{text_col}`").alias("text"))
     mine = chunks.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last", "hash", "is_first")).alias("c"))
     # the pieces are cut before the explode, so that a long text is not copied once for each of its chunks
@@ -98,8 +150,14 @@ def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   F.array_join(F.slice("line", x["first"] + 1, x["last"] - x["first"] + 1), "\n").alias("piece")))).alias("x"))
               .select(*_KEY, "x.*"))
     original = pieces.filter("is_first").select("hash", F.col("piece").alias("original"))
-    same = pieces.filter(~F.col("is_first")).join(original, "hash").filter(F.col("piece") == F.col("original"))
-    return same.groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", "last")))).alias("_gone"))
+    same = pieces.join(original, "hash").filter(F.col("piece") == F.col("original"))
+    lines = lambda which: F.array_distinct(F.flatten(F.collect_list(F.when(which, F.sequence("first", "last")))))
+    if not whole_runs:
+        return same.filter(~F.col("is_first")).groupBy(*_KEY).agg(lines(F.lit(True)).alias("_gone"))
+    # chunks of runs may share a line: what the first occurrence of one holds stays, unless it is a long line that goes by itself
+    multi, first = F.length("hash") == 32, F.col("is_first")
+    gone = F.array_union(lines(~first & ~multi), F.array_except(lines(~first & multi), lines(first & multi)))
+    return same.groupBy(*_KEY).agg(gone.alias("_gone")).filter(F.size("_gone") > 0)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_counts: bool = False,

@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated line chunks; one of which nothing is left goes."""
-    clean = line_dedup.dedup_lines(docs, keep_counts=True)
+    clean = line_dedup.dedup_lines(docs, keep_counts=True, whole_runs=True)
     return _with_length(clean.filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_lines") == 0)).drop("n_lines", "n_removed"))
 
 

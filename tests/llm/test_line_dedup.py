@@ -40,3 +40,17 @@ def test_odd_rows_and_empty_table(odd_docs, no_docs):
     assert len(rows) == 9 and L.dedup_lines(odd_docs).columns == odd_docs.columns
     assert L.dedup_lines(no_docs).count() == 0
     assert hashlib.sha256(b"").hexdigest()
+
+
+def _rest(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.text.split("\n") for r in L.dedup_lines(docs, whole_runs=True).collect()}
+
+
+def test_passages_of_short_lines_go_whole(spark):
+    passage = {k: [f"p{k}l{i} a{k} b{i} c" for i in range(15)] for k in range(20)}
+    rows = [(10 * k + d, "\n".join([_line(f"a{k}d{d}"), *lines, _line(f"b{k}d{d}")])) for k, lines in passage.items() for d in range(5)]
+    rest = _rest(spark, rows)
+    for k, lines in passage.items():
+        assert rest[10 * k][1:-1] == lines
+        assert all(rest[10 * k + d] == [_line(f"a{k}d{d}"), _line(f"b{k}d{d}")] for d in range(1, 5))
