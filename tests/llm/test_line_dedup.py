@@ -54,3 +54,22 @@ def test_passages_of_short_lines_go_whole(spark):
     for k, lines in passage.items():
         assert rest[10 * k][1:-1] == lines
         assert all(rest[10 * k + d] == [_line(f"a{k}d{d}"), _line(f"b{k}d{d}")] for d in range(1, 5))
+
+
+def test_passage_of_copied_documents_goes_from_the_other_one(spark):
+    rows, others = [], []
+    for k in range(20):
+        passage = [f"p{k}l{i} " + " ".join(f"x{i}{j}" for j in range(11)) for i in range(6)]
+        copy = "\n".join([_line(f"a{k}"), _line(f"b{k}"), *passage, _line(f"c{k}"), _line(f"d{k}")])
+        rows += [(100 * k + d, copy) for d in range(2 + k % 3)]
+        others.append((100 * k + 50, "\n".join([_line(f"e{k}"), *passage, _line(f"f{k}")])))
+    rest = _rest(spark, rows + others)
+    for k, (d, _) in enumerate(others):
+        assert rest[d] == [_line(f"e{k}"), _line(f"f{k}")]
+        assert len(rest[100 * k]) == 10 and all(rest[100 * k + c] == [""] for c in range(1, 2 + k % 3))
+
+
+def test_repeats_inside_a_document_and_lines_where_passages_meet(spark):
+    x, y, z = _line("x"), _line("y"), _line("z")
+    rest = _rest(spark, [(1, "\n".join([x, y, z])), (2, "\n".join([_line("a"), x, y])), (3, "\n".join([y, z, _line("b")])), (4, "ab cd\n" * 30)])
+    assert rest == {1: [x, y, z], 2: [_line("a")], 3: [_line("b")], 4: ["ab cd", "ab cd", ""]}
