@@ -7,8 +7,9 @@ visits the block it lies in and the neighbouring blocks that hold ``window`` of
 per block; the best of all curves are merged and reranked by the exact cosine.
 
 The window is a share of the order, not a number of rows, so recall does not fall as the table grows: vectors
-without structure have no short neighbourhoods.  The keys end in a hash of the id, so equal vectors
-spread over several blocks.
+without structure have no short neighbourhoods.  The keys end in a hash of the id and the curve, so equal vectors
+spread over several blocks, in another order on each curve.  Of equal vectors only the ``k`` + 1 smallest ids can be among
+the nearest of any query, so no others are candidates.
 """
 
 from __future__ import annotations
@@ -57,9 +58,9 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def curve_keys(unit: np.ndarray, ids: np.ndarray, seed: int) -> np.ndarray:
-    """(rows, CURVES) keys: Hilbert index, then hashed id."""
+    """(rows, CURVES) keys: Hilbert index, then the id hashed with the curve's number."""
     rng = np.random.default_rng(seed)
-    tie = (mix(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
+    hashed = mix(ids.astype(np.int64).view(np.uint64))
     out = np.empty((len(unit), CURVES), np.int64)
     width = unit.shape[1]
     for c in range(CURVES):
@@ -67,6 +68,7 @@ def curve_keys(unit: np.ndarray, ids: np.ndarray, seed: int) -> np.ndarray:
         shift = 0.5 * rng.random(axes.shape[1])
         place = 0.25 * (1 + np.tanh(0.8 * np.sqrt(width) * (unit @ axes))) + shift  # in [0, 1)
         cell = np.minimum((place * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
+        tie = (mix(hashed + np.uint64(c)) >> np.uint64(64 - TIE_BITS)).astype(np.int64)
         out[:, c] = (hilbert_index(cell, BITS) << TIE_BITS) | tie
     return out
 
@@ -84,9 +86,9 @@ def _orders(seed: int):
             v = v / np.abs(v).max(axis=1, keepdims=True)
             keys = curve_keys(v / np.linalg.norm(v, axis=1, keepdims=True), np.asarray(b.column("vec_id")), seed)
             yield pa.RecordBatch.from_arrays(
-                [b.column("vec_id"), b.column("vector"),
+                [b.column("vec_id"), b.column("vector"), b.column("is_query"),
                  pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * CURVES), pa.array(keys.ravel()))],
-                names=["vec_id", "vector", "keys"])
+                names=["vec_id", "vector", "is_query", "keys"])
     return run
 
 
@@ -152,15 +154,22 @@ def nearest(vectors: DataFrame, k: int = 5, query_step: int = 50, window: float
     result = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
     if common is None:
         return spark.createDataFrame([], result).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    rows = good.filter(F.size("vector") == common["d"])
+    usual = good.filter(F.size("vector") == common["d"])
+    # of equal vectors, those that can be among the k nearest of any query: the k + 1 smallest ids
+    equal = Window.partitionBy("vector").orderBy("vec_id")
+    least = usual.withColumn("r", F.row_number().over(equal)).filter(F.col("r") <= k + 1).drop("r")
+    rows = least.withColumn("is_query", F.lit(False)).unionByName(
+        usual.filter(F.col("vec_id") % query_step == 0).withColumn("is_query", F.lit(True)))
     keyed = rows.mapInArrow(_orders(seed), T.StructType([*rows.schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))])).checkpoint()
 
+    candidates = keyed.filter(~F.col("is_query"))
+    n = candidates.count()
     # blocks fine enough for the window, but of no less than LEAST_ROWS rows: a small table is one block
-    blocks = max(-(-int(common["c"]) // BLOCK_ROWS), min(LEAST_BLOCKS, int(common["c"]) // LEAST_ROWS), 1)
+    blocks = max(-(-n // BLOCK_ROWS), min(LEAST_BLOCKS, n // LEAST_ROWS), 1)
     reach = int(np.ceil(window * blocks))
     # the cut points of each order: one row of CURVES * (blocks - 1) numbers
     shares = [i / blocks for i in range(1, blocks)]
-    cuts = keyed.agg(*[F.percentile_approx(F.col("keys")[c], shares or [0.5], 10_000).alias(f"c{c}") for c in range(CURVES)]).first()
+    cuts = candidates.agg(*[F.percentile_approx(F.col("keys")[c], shares or [0.5], 10_000).alias(f"c{c}") for c in range(CURVES)]).first()
     shared = spark.sparkContext.broadcast([np.array(cuts[f"c{c}"][:len(shares)], np.int64) for c in range(CURVES)])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,15 +179,16 @@ def nearest(vectors: DataFrame, k: int = 5, query_step: int = 50, window: float
             keys = np.asarray(b.column("keys").flatten()).reshape(b.num_rows, CURVES)
             at = np.stack([np.searchsorted(cut, keys[:, c], side="right") for c, cut in enumerate(shared.value)], axis=1)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * CURVES), pa.array(at.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), lists], names=["vec_id", "vector", "blocks"])
+            yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), b.column("is_query"), lists],
+                                             names=["vec_id", "vector", "is_query", "blocks"])
 
     placed = keyed.mapInArrow(place, T.StructType([*rows.schema.fields, T.StructField("blocks", T.ArrayType(T.IntegerType()))]))
-    on_curve = placed.select("vec_id", "vector", F.posexplode("blocks").alias("curve", "block"))
-    asked = on_curve.filter(F.col("vec_id") % query_step == 0).select(
+    on_curve = placed.select("vec_id", "vector", "is_query", F.posexplode("blocks").alias("curve", "block"))
+    asked = on_curve.filter("is_query").select(
         "vec_id", "vector", "curve", F.explode(F.sequence(F.greatest(F.col("block") - reach, F.lit(0)),
                                                           F.least(F.col("block") + reach, F.lit(blocks - 1)))).alias("block"),
-        F.lit(True).alias("is_query"))
-    both = on_curve.select("vec_id", "vector", "curve", "block", F.lit(False).alias("is_query")).unionByName(asked)
+        "is_query")
+    both = on_curve.filter(~F.col("is_query")).select("vec_id", "vector", "curve", "block", "is_query").unionByName(asked)
     found = both.groupBy("curve", "block").applyInArrow(_best_of_block(k), result)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -46,3 +46,17 @@ def test_odd_vectors_and_few_candidates(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 50), (50, 1, 0), (50, 2, 1)]
     assert got[0].score == pytest.approx(1.0) and got[1].score == pytest.approx(0.5 ** 0.5)
     assert A.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), 5, 50).count() == 0
+
+
+@pytest.mark.parametrize("share", [3, 1.2])
+def test_ties_of_very_many_copies_go_to_the_smaller_ids(spark, share):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(4000, 16))
+    copies = np.sort(rng.permutation(4000)[:int(4000 / share)])
+    v[copies] = v[copies[0]]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {q: g.sort_values("rank").vec_id.tolist() for q, g in A.nearest(df, 5, 20).toPandas().groupby("query_id")}
+    asked = [q for q in copies.tolist() if q % 20 == 0]
+    assert len(asked) > 50 and len(got) == 200
+    for q in asked:
+        assert got[q] == [i for i in copies[:6].tolist() if i != q][:5]
