@@ -40,6 +40,11 @@ _DIGITS = re.compile(r"[0-9]++")
 _TRIGGER = re.compile(r"[0-9@(\[]")
 _BLANK = re.compile(r"\s")
 _AT = re.compile(r"[(\[](?:at|AT)[)\]]")
+_QUAD = re.compile(r"[0-9]++(?:\[?\.\]?[0-9]++){3}")
+#: where an over-long chunk is split, each for what the one before leaves too long: quotes, fields and other scripts; paths and
+#: operators; changes between digits and letters
+_SPLITS = (re.compile(r"[^\s,;:\"'{}<>=|&\x80-\U0010ffff]++"), re.compile(r"[^/\\*#%!?$~^`]++"),
+           re.compile(r"[0-9().\[\]+_-]++|[^0-9]++"))
 
 
 def luhn(digits: str) -> bool:
@@ -89,8 +94,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _pieces(text: str, a: int, b: int, level: int = 0):
+    """A chunk, or what an over-long one is split into, where there is a trigger.  What has one class of characters
+    and stays too long holds no value."""
+    if b - a <= LONGEST_CHUNK:
+        if _TRIGGER.search(text, a, b):
+            yield a, b
+    elif level < len(_SPLITS):
+        for m in _SPLITS[level].finditer(text, a, b):
+            yield from _pieces(text, *m.span(), level + 1)
+
+
 def regions(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring chunks around triggers, with one chunk more on either side; over-long chunks stand outside."""
+    """Runs of neighbouring chunks around triggers, with one chunk more on either side; over-long chunks are split."""
     out: list[list[tuple[int, int]]] = []
     pos, n = 0, len(text)
     while True:
@@ -103,24 +119,23 @@ def regions(text: str) -> list[list[tuple[int, int]]]:
         end = _BLANK.search(text, b)
         b = end.start() if end else n
         pos = b
-        if b - a > LONGEST_CHUNK:
-            continue
-        if out and a - out[-1][-1][1] == 1:
-            out[-1].append((a, b))
-        else:
-            out.append([(a, b)])
+        for x, y in _pieces(text, a, b):
+            if out and x - out[-1][-1][1] == 1 and text[x - 1].isspace():
+                out[-1].append((x, y))
+            else:
+                out.append([(x, y)])
     full = []
     for r in out:
         whole = text[r[0][0]:r[-1][1]]
-        if sum(map(str.isdecimal, whole)) < 7 and "@" not in whole and not _AT.search(whole):
+        if sum(map(str.isdecimal, whole)) < 7 and "@" not in whole and not _AT.search(whole) and not _QUAD.search(whole):
             continue
         left, right = r[0][0], r[-1][1]
-        if left > 1 and not text[left - 2].isspace():
+        if left > 1 and text[left - 1].isspace() and not text[left - 2].isspace():
             a = left - 1
             while a > 0 and not text[a - 1].isspace() and left - a <= LONGEST_CHUNK:
                 a -= 1
             r = [(a, left - 1), *r]
-        if right + 1 < n and not text[right + 1].isspace():
+        if right + 1 < n and text[right].isspace() and not text[right + 1].isspace():
             end = _BLANK.search(text, right + 1, right + 1 + LONGEST_CHUNK)
             r = [*r, (right + 1, end.start() if end else min(n, right + 1 + LONGEST_CHUNK))]
         full.append(r)

@@ -128,3 +128,16 @@ def test_report_counts_base_spans_by_kind(spark):
         joined = ",".join(f"{P.KINDS[k]}:{a}:{b}" for k, a, b in base)
         assert out[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert set(joined.split(",")) <= set(out[i].spans.split(","))
+
+
+def test_values_in_long_chunks_and_short_masked_addresses_are_scored(field):
+    json = '{"id":"a1b2","name":"' + "x" * 50 + '","tel":"0031205551234","mail":"bob12(at)mail1.example.com"}'
+    han = "\u4f60\u597d" * 40 + "bob12(at)mail1.example.com" + "\u4e16\u754c" * 40
+    csv = ",".join(["field"] * 14 + ["4111.1111.1111.1111"] + ["other"] * 14)
+    for text, value in ((json, "bob12(at)mail1.example.com"), (han, "bob12(at)mail1.example.com"), (csv, "4111.1111.1111.1111")):
+        assert any(text[a:b] == value for r in P.regions(text) for a, b in r)
+        assert value in [text[a:b] for _, a, b in P.all_spans(field, text)]
+    assert P.all_spans(field, "to bob12(at)mail1.example.com now") == [(0, 3, 29)]
+    for text in ("see 8[.]8[.]8[.]8 there", "see 1.1.1[.]1 there"):
+        assert any(_ for _ in P.regions(text))
+    assert not P.regions("in 2024 and 12.5 there")
