@@ -213,12 +213,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_co
 
     Words are maximal runs of digits, letters and non-ASCII characters after lower-casing A-Z.  A window is
     ``window`` consecutive item words; a shorter item that has words is one window.  Null or empty texts have no
-    words and hit nothing; items without words are ignored; a null item id reads as the empty string; repeated
-    items and documents are each treated as they stand.  A column of ``docs`` named like ``result`` is replaced;
+    words and hit nothing; items without words are ignored; a null item id reads as the empty string; equal
+    rows of items count once, repeated documents are each treated as they stand.  A column of ``docs`` named like ``result`` is replaced;
     every other extra column passes through.
     """
     docs = docs.drop(result)
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text).alias("t"))
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("i"), F.col(item_text).alias("t")).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_bytes))
     schema = T.StructType([*docs.schema.fields, T.StructField(result, _STATE)])

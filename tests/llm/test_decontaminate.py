@@ -56,3 +56,11 @@ def test_odd_rows_and_removal(spark, odd_docs, no_docs):
     assert clean.columns == odd_docs.columns and clean.count() == 9
     assert D.report(no_docs, _benchmark(spark)).count() == 0
     assert D.report(odd_docs, _benchmark(spark).limit(0)).filter("contaminated").count() == 0
+
+
+def test_equal_benchmark_rows_are_one_item(spark):
+    bench = spark.createDataFrame([("i1", "one two three four")] * 300 + [("i2", "five six seven")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "x one two three four y five six seven")], "doc_id long, text string")
+    found = D.matches(docs, bench, window=3, block_bytes=64).first().contamination
+    assert [(m.item_id, m.n_words) for m in sorted(found.matches, key=lambda m: m.item_id)] == [("i1", 4), ("i2", 3)]
+    assert list(found.hits) == [1, 2, 3, 4, 6, 7, 8]
