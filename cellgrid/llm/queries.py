@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import (ann_hilbert, chat_format, decontaminate, line_dedup, near_dedup, pii, sentencepiece_codec, token_count, toxicity,
-               url_filter)
+from . import (ann_hilbert, chat_format, decontaminate, hard_negatives, importance, license_scan, line_dedup, near_dedup, pii,
+               sentencepiece_codec, token_count, toxicity, url_filter)
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -75,6 +75,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence tags, notices and base phrases of every document."""
+    return license_scan.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's text."""
+    return importance.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100; every seventh row has the next label."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), anchor_step=100)
+
+
 #: n_items are those with a window in the document; all windows of an item are compared with all word positions
 OP2_SQL = rf"""
 WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents),
@@ -93,6 +110,8 @@ FROM doc LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op3_neighbours, op4_url_filter, op5_near_dedup, op6_pii,
-                            op7_chat_format, op8_sentencepiece, op9_token_count, op10_toxicity)}
+                            op7_chat_format, op8_sentencepiece, op9_token_count, op10_toxicity, op11_license_scan,
+                            op12_importance, op13_hard_negatives)}
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE_SQL, "op2_decontaminate": OP2_SQL, "op4_url_filter": url_filter.ORACLE_SQL,
-                           "op7_chat_format": chat_format.ORACLE_SQL}
+                           "op7_chat_format": chat_format.ORACLE_SQL, "op12_importance": importance.ORACLE_SQL,
+                           "op13_hard_negatives": hard_negatives.ORACLE_SQL}
