@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MIN_LINES = 2
 MIN_WORDS = 20
@@ -40,11 +41,14 @@ def _words(line: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumns({"_i": F.xxhash64(F.col(f"`{id_col}`")), "_t": F.xxhash64(F.col(f"`{text_col}`"))})
+    """_i, the id itself with nulls first (ids that are not whole numbers as strings), and _t, a hash of the text."""
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    i = F.col(f"`{id_col}`").cast("long" if whole else "string")
+    return docs.withColumns({"_i": F.coalesce(i, F.lit(-(1 << 63)) if whole else F.lit("")), "_t": F.xxhash64(F.col(f"`{text_col}`"))})
 
 
 def _grams(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> DataFrame:
-    """Rows (id, key, at, kind, g, w1, w2): the rolling hash of each pair of lines, and each long line by itself."""
+    """Rows (key, at, kind, g, w1, w2): the rolling hash of each pair of lines, and each long line by itself."""
     hashed = (_keyed(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "id", "text")
               .filter(F.col("text").isNotNull())
               .withColumn("line", F.transform(F.split("text", "\n", -1),
@@ -58,23 +62,23 @@ def _grams(docs: DataFrame, id_col: str, text_col: str, long_line: int) -> DataF
     single = F.filter(F.transform(F.col("line"), lambda x, i: F.struct(
         i.alias("at"), F.lit(1).alias("kind"), F.unhex(x["h"]).alias("g"), x["w"].alias("w1"), F.lit(0).alias("w2"))),
         lambda s: s["w1"] >= long_line)
-    return hashed.select("id", *_KEY, F.explode(F.concat(numbered, single)).alias("x")).select("id", *_KEY, "x.*")
+    return hashed.select(*_KEY, F.explode(F.concat(numbered, single)).alias("x")).select(*_KEY, "x.*")
 
 
 def _nominated(multi: DataFrame, repeated: DataFrame) -> DataFrame:
     """The chunks and long lines that occur more than once, with their first occurrence marked."""
     single = repeated.filter("kind = 1").select(
-        *_KEY, "id", F.col("at").alias("first"), F.col("at").alias("last"), F.concat(F.lit("1"), F.hex("g")).alias("hash"))
+        *_KEY, F.col("at").alias("first"), F.col("at").alias("last"), F.concat(F.lit("1"), F.hex("g")).alias("hash"))
     chunks = multi.unionByName(single)
-    firsts = (chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("id", "_t", "_i", "first")).alias("o"))
+    firsts = (chunks.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "first")).alias("o"))
               .filter("n > 1").select("hash", "o"))
-    here = F.struct("id", "_t", "_i", "first")
-    return chunks.join(firsts, "hash").select("id", *_KEY, "first", "last", "hash", here.eqNullSafe(F.col("o")).alias("is_first"))
+    here = F.struct(*_KEY, "first")
+    return chunks.join(firsts, "hash").select(*_KEY, "first", "last", "hash", here.eqNullSafe(F.col("o")).alias("is_first"))
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
-    """Chunks whose hash occurs more than once: (id, _i, _t, first line, last line, hash, is_first)."""
+    """Chunks whose hash occurs more than once: (_i, _t, first line, last line, hash, is_first)."""
     grams = _grams(docs, id_col, text_col, long_line)
     counts = grams.groupBy("kind", "g").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = grams.join(counts, ["kind", "g"]).repartition(*_KEY).dropDuplicates([*_KEY, "kind", "at"])
@@ -89,7 +93,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     broken = F.col("n0").isNull() | F.lag("cut", 1, False).over(w)
     runs = cut.withColumn("run", F.sum(broken.cast("int")).over(w)).filter(~F.col("cut"))
     multi = (runs.groupBy(*_KEY, "run")
-             .agg(F.min("id").alias("id"), F.min("at").alias("first"), (F.max("at") + 1).alias("last"),
+             .agg(F.min("at").alias("first"), (F.max("at") + 1).alias("last"),
                   (F.sum("w1") + F.max_by("w2", "at")).alias("words"),
                   F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
                                                  lambda p: F.hex(p["g"])), "")).alias("hash"))
@@ -130,7 +134,7 @@ def run_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "skip0": F.coalesce(F.col("left") & ~F.col("right0"), F.lit(False)).cast("int"),
         "skip1": F.coalesce(F.col("right") & ~F.col("left1"), F.lit(False)).cast("int")})
     multi = (ends.groupBy(*_KEY, "chunk")
-             .agg(F.min("id").alias("id"), (F.min("at") + F.min_by("skip0", "at")).alias("first"),
+             .agg((F.min("at") + F.min_by("skip0", "at")).alias("first"),
                   (F.max("at") + 1 - F.max_by("skip1", "at")).alias("last"),
                   F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
                                                  lambda p: F.hex(p["g"])), "")).alias("hash"))
