@@ -1,32 +1,28 @@
 """Forecasting many series in parallel.
 
-The naive forecaster is pure DataFrame code (``max_by`` + ``sequence``).  The
-seasonal models (Holt-Winters, trend + Fourier regression) need a per-series fit:
-``groupBy(key).applyInPandas`` gives one Arrow batch per series to a NumPy fit.
-A series holds one row per period after the gold rollup, so its size is bounded
-by the history span (hours), not by the raw volume of the cell.
+The naive forecaster is pure DataFrame code (``max_by`` + ``sequence``).  For the fitted models a series is packed into one row
+of arrays (one entry per period after the gold rollup, so its size is bounded by the history span, not by the raw volume of the cell);
+``mapInArrow`` then fits all series of a batch that have the same length as one matrix (``seriesfit``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip
+from .seriesfit import Z80 as Z80
+from .seriesfit import fit_matrix
 from .slices import series_tail
 
-Z80 = 1.28  # fixed value: two-sided 80% band half-width in standard deviations
-
 #: model tags of rows that are no prediction: the observed tail, and a series that no method could fit
 OBSERVED, REJECTED = "observed", "rejected"
 
 
-class TooShort(ValueError):
-    """The series has too few points for the method, or its fit is not finite; the next method is tried."""
-
-
 def predicted(model: str = "model") -> F.Column:
     return ~F.col(model).isin(OBSERVED, REJECTED)
 
@@ -52,125 +48,38 @@ def naive_forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, s
     return fut
 
 
-# ---- per-series NumPy fits (run inside applyInPandas) ------------------------------------
-
-def _hw_fit(y: np.ndarray, m: int, horizon: int):
-    """Additive trend + additive season Holt-Winters, smoothing constants by grid search on SSE.
-
-    All grid points run together: one NumPy step per time point over the whole grid.
-    """
-    n = len(y)
-    if n < 2 * m:
-        raise TooShort("need two full seasons")
-    grid = np.array([(a, b, g) for a in (0.1, 0.3, 0.5, 0.8) for b in (0.01, 0.1, 0.3) for g in (0.05, 0.2, 0.5)])
-    a, b, g = grid[:, 0], grid[:, 1], grid[:, 2]
-    k = len(grid)
-    lev = np.full(k, y[:m].mean())
-    tr = np.full(k, (y[m:2 * m].mean() - y[:m].mean()) / m)
-    sea = np.empty((k, n + m))
-    sea[:, :m] = y[:m] - y[:m].mean()
-    fitted = np.empty((k, n))
-    for t in range(n):
-        s_prev = sea[:, t]
-        fitted[:, t] = lev + tr + s_prev
-        new_l = a * (y[t] - s_prev) + (1 - a) * (lev + tr)
-        tr = b * (new_l - lev) + (1 - b) * tr
-        lev = new_l
-        sea[:, t + m] = g * (y[t] - lev) + (1 - g) * s_prev
-    sse = np.sum((fitted - y) ** 2, axis=1)
-    j = int(np.argmin(sse))
-    h = np.arange(1, horizon + 1)
-    pred = lev[j] + h * tr[j] + sea[j, n + (h - 1) % m]
-    rmse = float(np.sqrt(np.mean((fitted[j] - y) ** 2)))
-    return pred, rmse
-
-
-def _fourier_design(t: np.ndarray, periods: list[tuple[float, int]]) -> np.ndarray:
-    cols = [np.ones_like(t), t / max(len(t), 1)]
-    for p, k in periods:
-        for j in range(1, k + 1):
-            cols += [np.sin(2 * np.pi * j * t / p), np.cos(2 * np.pi * j * t / p)]
-    return np.column_stack(cols)
-
-
-def _fourier_fit(y: np.ndarray, horizon: int, season: int, order: int, bounded: tuple[float, float] | None,
-                 weekly: bool = False):
-    """Linear trend + Fourier seasonality by least squares; bounded targets fit on a logit scale.
-
-    ``weekly`` adds three harmonics of seven seasons; it needs fourteen seasons of points.
-    """
-    n = len(y)
-    order = min(order, (season - 1) // 2)  # higher harmonics repeat lower ones on a grid of ``season`` points
-    periods = [(float(season), order)]
-    if weekly:
-        periods.append((7.0 * season, 3))
-    if n < (14 if weekly else 2) * season or n <= 2 + 2 * sum(k for _, k in periods):
-        raise TooShort("series too short for the seasonal regression")
-    if bounded:
-        lo, hi = bounded
-        span = hi - lo
-        p = np.clip((y - lo) / span, 0.005, 0.995)
-        target = np.log(p / (1 - p))
-    else:
-        target = y
-    t = np.arange(n, dtype=float)
-    X = _fourier_design(t, periods)
-    coef, *_ = np.linalg.lstsq(X, target, rcond=None)
-    resid = target - X @ coef
-    rmse = float(np.sqrt(np.mean(resid ** 2)))
-    tf = np.arange(n, n + horizon, dtype=float)
-    cols = [np.ones_like(tf), tf / max(n, 1)]
-    for per, k in periods:
-        for j in range(1, k + 1):
-            cols += [np.sin(2 * np.pi * j * tf / per), np.cos(2 * np.pi * j * tf / per)]
-    pf = np.column_stack(cols) @ coef
-    lo_b, hi_b = pf - Z80 * rmse, pf + Z80 * rmse
-    if bounded:
-        lo, hi = bounded
-        inv = lambda v: lo + (hi - lo) / (1 + np.exp(-v))
-        return inv(pf), inv(lo_b), inv(hi_b)
-    return pf, lo_b, hi_b
-
-
-def make_forecaster(key: str, horizon: int, step: str, methods: tuple[str, ...], season: int,
-                    bounds: tuple[float, float] | None):
-    delta = pd.Timedelta(hours=1) if step == "hour" else pd.Timedelta(days=1)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ds")
-        y = pdf["y"].to_numpy(dtype=float)
-        last = pd.Timestamp(pdf["ds"].iloc[-1])
-        ds = [last + delta * i for i in range(1, horizon + 1)]
-        out = None
-        for m in methods:
-            try:
-                if m in ("fourier", "fourier_weekly"):
-                    yhat, lo, hi = _fourier_fit(y, horizon, season, 6, bounds, m == "fourier_weekly")
-                    name = f"{m}_logistic" if bounds else m
-                elif m == "hw":
-                    yhat, rmse = _hw_fit(y, season, horizon)
-                    lo, hi, name = yhat - Z80 * rmse, yhat + Z80 * rmse, "holt_winters"
-                elif m == "naive":
-                    yhat = np.full(horizon, y[-1])
-                    lo, hi, name = yhat, yhat, "naive_last"
-                else:
-                    raise KeyError(m)
-                if not np.all(np.isfinite(yhat)):
-                    raise TooShort("non-finite fit")
-                out = pd.DataFrame({"ds": ds, "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi, "model": name})
-                break
-            except TooShort:
-                continue
-        if out is None:
-            # no method fits: the series stays visible as one row without a prediction
-            out = pd.DataFrame({"ds": [last], "yhat": [np.nan], "yhat_lower": [np.nan], "yhat_upper": [np.nan], "model": [REJECTED]})
-        elif bounds:
-            for c in ("yhat", "yhat_lower", "yhat_upper"):
-                out[c] = out[c].clip(bounds[0], bounds[1])
-        out.insert(0, key, pdf[key].iloc[0])
-        return out
-
-    return fit
+_MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def _fit_batches(key: str, horizon: int, step: str, methods: tuple[str, ...], season: int, hist: int, bounds: tuple[float, float] | None):
+    """Packed series (key, ds, y) -> rows of the observed tail and of the forecast."""
+    names = [key, "ds", "y", "yhat", "yhat_lower", "yhat_upper", "model"]
+
+    def rows(keys, ds, y, parts, model):
+        width = ds.shape[1]
+        nothing = np.full(ds.size, np.nan)
+        return pa.RecordBatch.from_arrays(
+            [keys.take(pa.array(np.repeat(np.arange(len(ds)), width))), pa.array(ds.ravel()).cast(pa.timestamp("us")),
+             *[pa.array(nothing if x is None else x.ravel()) for x in (y, *parts)], pa.array(np.repeat(model, width), pa.string())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = np.asarray(b.column("y").value_lengths())
+            for length in np.unique(n):
+                part = b.filter(pa.array(n == length))
+                keys = part.column(key)
+                ds = np.asarray(part.column("ds").flatten().cast(pa.int64())).reshape(-1, length)
+                y = np.asarray(part.column("y").flatten(), dtype=float).reshape(-1, length)
+                yield rows(keys, ds[:, -hist:], y[:, -hist:], (None, None, None), np.full(len(ds), OBSERVED, dtype=object))
+                yhat, low, high, model = fit_matrix(y, methods, horizon, season, bounds)
+                done = np.array([m is not None for m in model])
+                ahead = ds[:, -1:] + _MICROS[step] * np.arange(1, horizon + 1)
+                fitted = pa.array(np.flatnonzero(done))
+                yield rows(keys.take(fitted), ahead[done], None, (yhat[done], low[done], high[done]), model[done])
+                # a series that no method fits stays visible as one row without a prediction
+                left = pa.array(np.flatnonzero(~done))
+                yield rows(keys.take(left), ds[~done, -1:], None, (None, None, None), np.full(int((~done).sum()), REJECTED, dtype=object))
+    return run
 
 
 def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: str = "hour",
@@ -180,22 +89,18 @@ def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: s
 
     ``series`` is (key, ds, y) on a regular grid (see ``series.interpolate``).  Series with fewer
     than ``min_points`` points are not fitted (``series.short_series`` lists them).  Methods: ``fourier``,
-    ``fourier_weekly`` (adds weekly terms), ``hw``, ``naive``; only a series too short for a method falls
-    through to the next.  Past the gate every series has ``horizon`` predicted rows or one row of model
-    ``rejected`` (see ``rejected_series``).  The fit reads each series once and also returns its tail.
+    ``fourier_weekly`` (adds weekly terms), ``trend`` and ``trend_multiplicative`` (changepoints, simulated band), ``hw``, ``linear``,
+    ``naive``; only a series too short for a method falls through to the next.  Past the gate every series has ``horizon`` predicted rows or
+    one row of model ``rejected`` (see ``rejected_series``).  The fit reads each series once and also returns its tail.
     """
     from .series import long_enough
     if min_points:
         series = long_enough(series, min_points, key)
-    fit = make_forecaster(key, horizon, step, methods, season, bounds)
-
-    def with_tail(pdf: pd.DataFrame) -> pd.DataFrame:
-        tail = pdf.nlargest(hist, "ds")[[key, "ds", "y"]].assign(model=OBSERVED)
-        return pd.concat([tail, fit(pdf)], ignore_index=True).reindex(columns=columns)
-
-    columns = [key, "ds", "y", "yhat", "yhat_lower", "yhat_upper", "model"]
+    packed = (series.groupBy(F.col(key).cast("string").alias(key))
+              .agg(F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y")))).alias("s"))
+              .select(key, F.col("s.ds").alias("ds"), F.col("s.y").alias("y")))
     schema = f"{key} string, ds timestamp_ntz, y double, yhat double, yhat_lower double, yhat_upper double, model string"
-    out = series.select(key, "ds", F.col("y").cast("double").alias("y")).groupBy(key).applyInPandas(with_tail, schema)
+    out = packed.mapInArrow(_fit_batches(key, horizon, step, methods, season, hist, bounds), schema)
     return out.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("y", "yhat", "yhat_lower", "yhat_upper")})
 
 

@@ -9,13 +9,15 @@ recomputes at most a few rounds.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import opposite_endpoint
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, ensure_checkpoint_dir, scratch_path
 from .components import connected_components
 from .prefix import global_row_number
 
@@ -91,6 +93,10 @@ def pagerank(edges: DataFrame, d: float = 0.85, tol: float = 1e-6, max_iter: int
 
 #: edge visits (sources times edges) that one task of the betweenness takes
 BLOCK_WORK = 50_000_000
+#: edges (both directions) of the largest component that a task takes whole; larger ones go level by level
+TASK_EDGES = 1_000_000
+#: rows (source, vertex) of one block of sources in the level-by-level search, over all tasks together
+STATE_ROWS = 2_000_000_000
 
 
 def _brandes(u: np.ndarray, v: np.ndarray, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,13 +132,65 @@ def _brandes(u: np.ndarray, v: np.ndarray, sources: np.ndarray) -> tuple[np.ndar
     return names, np.array(total)
 
 
+def _levels(adj: DataFrame, sources: DataFrame, folder: str) -> int:
+    """Breadth-first levels of all sources at once: level d holds (s, v, paths) of the vertices d steps from s.
+
+    A neighbour of a vertex is in its own level or in one of the two next to it, so the next level is what the last
+    one reaches without itself and the one before.  Each level is written once, whence later steps and lost tasks read it.
+    """
+    spark = adj.sparkSession
+    sources.select(F.col("u").alias("s"), F.col("u").alias("v"), F.lit(1.0).alias("paths")).write.parquet(f"{folder}/level-0")
+    depth = 0
+    while True:
+        last = spark.read.parquet(f"{folder}/level-{depth}")
+        seen = last.select("s", "v")
+        if depth:
+            seen = seen.unionByName(spark.read.parquet(f"{folder}/level-{depth - 1}").select("s", "v"))
+        step = (last.join(adj.withColumnRenamed("v", "w"), last["v"] == F.col("u")).groupBy("s", F.col("w").alias("v")).agg(F.sum("paths").alias("paths"))
+                .join(seen, ["s", "v"], "left_anti"))
+        step.write.parquet(f"{folder}/level-{depth + 1}")
+        if spark.read.parquet(f"{folder}/level-{depth + 1}").isEmpty():
+            return depth
+        depth += 1
+
+
+def _by_levels(adj: DataFrame, sources: DataFrame, n_blocks: int) -> DataFrame:
+    """(u, b): dependencies summed over the sources, by joins with the distributed edge table, one block of sources after the other.
+
+    State is keyed by (source, vertex), so neither a component nor a hub's neighbours need fit in a task.  A block's levels are
+    deleted when its sums are written.
+    """
+    spark = adj.sparkSession
+    root = scratch_path(spark, f"betweenness-{uuid.uuid4().hex[:12]}")
+    for block in range(n_blocks):
+        folder = f"{root}/block-{block}"
+        depth = _levels(adj, sources.filter(F.pmod(F.xxhash64("u"), F.lit(n_blocks)) == block), folder)
+        below = None
+        for d in range(depth, 0, -1):
+            here = spark.read.parquet(f"{folder}/level-{d}")
+            mine = here.withColumn("credit", F.lit(0.0)) if below is None else (
+                here.join(below, ["s", "v"], "left").select("s", "v", "paths", F.coalesce("credit", F.lit(0.0)).alias("credit")))
+            mine.write.parquet(f"{folder}/credit-{d}")
+            mine = spark.read.parquet(f"{folder}/credit-{d}")
+            share = mine.select("s", F.col("v").alias("w"), ((1 + F.col("credit")) / F.col("paths")).alias("share"))
+            up = spark.read.parquet(f"{folder}/level-{d - 1}")
+            below = (share.join(adj, F.col("w") == F.col("u")).select("s", "v", "share").groupBy("s", "v").agg(F.sum("share").alias("share"))
+                     .join(up, ["s", "v"]).select("s", "v", (F.col("paths") * F.col("share")).alias("credit")))
+        found = (spark.read.parquet(*[f"{folder}/credit-{d}" for d in range(1, depth + 1)]) if depth
+                 else spark.createDataFrame([], "v string, credit double"))
+        found.groupBy(F.col("v").alias("u")).agg(F.sum("credit").alias("b")).write.parquet(f"{root}/sums/block={block}")
+        delete_path(spark, folder)
+    return spark.read.parquet(f"{root}/sums").groupBy("u").agg(F.sum("b").alias("b"))
+
+
 def betweenness(edges: DataFrame, normalized: bool = True, source_fraction: float | None = None,
-                seed: int = 7, block_work: int = BLOCK_WORK) -> DataFrame:
-    """Exact betweenness, one path for every size: work is dealt by component and block of sources.
+                seed: int = 7, block_work: int = BLOCK_WORK, task_edges: int = TASK_EDGES, state_rows: int = STATE_ROWS) -> DataFrame:
+    """Exact betweenness.  Shortest paths stay inside a component, so work is dealt by component.
 
-    Shortest paths stay inside a component, so a task gets one component's edges and a block of its
-    sources, as many as ``block_work`` edge visits allow, and returns one partial sum per vertex.  Nothing is
-    collected or broadcast; a task holds the edges of one component.  ``source_fraction`` takes a share of the sources by
+    A component of up to ``task_edges`` edges goes whole to as many tasks as its work needs, each with a block of
+    sources (as many as ``block_work`` edge visits allow), and comes back as one partial sum per vertex.  Larger components are searched level by
+    level with joins (``_by_levels``), so a task's memory is bounded whatever the graph; both give the same numbers.
+    Nothing is collected or broadcast.  ``source_fraction`` takes a share of the sources by
     hash and scales by n/s (Brandes and Pich 2007), the only and explicit approximation.  Normalised by 1/((n-1)(n-2))
     over ordered pairs, as the reference does.
     """
@@ -144,8 +202,10 @@ def betweenness(edges: DataFrame, normalized: bool = True, source_fraction: floa
         F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(1_000_000)) < int(source_fraction * 1_000_000))
     n_sources = n if source_fraction is None else chosen.count()
     tagged = adj.join(part, "u")
-    size = tagged.groupBy("component").agg(F.count("*").alias("e")).join(chosen.groupBy("component").agg(F.count("*").alias("s")), "component")
-    blocks = size.select("component", F.ceil(F.col("e") * F.col("s") / F.lit(block_work)).cast("int").alias("blocks"))
+    size = (tagged.groupBy("component").agg(F.count("*").alias("e"), F.count_distinct("u").alias("n"))
+            .join(chosen.groupBy("component").agg(F.count("*").alias("s")), "component").checkpoint())
+    small, large = size.filter(F.col("e") <= task_edges), size.filter(F.col("e") > task_edges)
+    blocks = small.select("component", F.ceil(F.col("e") * F.col("s") / F.lit(block_work)).cast("int").alias("blocks"))
     block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     dealt = tagged.join(blocks, "component").select("component", block, "u", "v")
     mine = chosen.join(blocks, "component").select(
@@ -156,19 +216,24 @@ def betweenness(edges: DataFrame, normalized: bool = True, source_fraction: floa
         names, total = _brandes(pdf.loc[~source, "u"].to_numpy(str), pdf.loc[~source, "v"].to_numpy(str), pdf.loc[source, "u"].to_numpy(str))
         return pd.DataFrame({"u": names, "b": total})
 
-    sums = (dealt.unionByName(mine).groupBy("component", "block").applyInPandas(run, "u string, b double")
-            .groupBy("u").agg(F.sum("b").alias("b")))
+    found = dealt.unionByName(mine).groupBy("component", "block").applyInPandas(run, "u string, b double")
+    rows = large.agg(F.sum(F.col("s") * F.col("n"))).first()[0]
+    if rows:
+        whole = large.select("component")
+        found = found.unionByName(_by_levels(tagged.join(whole, "component").select("u", "v").checkpoint(), chosen.join(whole, "component"),
+                                             -(-rows // state_rows)))
+    sums = found.groupBy("u").agg(F.sum("b").alias("b"))
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
     scale *= n / n_sources if n_sources else 0.0
     return part.join(sums, "u", "left").select(F.col("u").alias("cell_id"),
                                                (F.coalesce("b", F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
 
 
-def centrality(edges: DataFrame) -> DataFrame:
-    """Degree, PageRank and betweenness per vertex (vertices come from the edge list)."""
+def centrality(edges: DataFrame, ranks: DataFrame | None = None, between: DataFrame | None = None) -> DataFrame:
+    """Degree, PageRank and betweenness per vertex (vertices come from the edge list); the latter two may be given."""
     deg = degree(edges)
-    pr = pagerank(edges)
-    bt = betweenness(edges)
+    pr = pagerank(edges) if ranks is None else ranks
+    bt = betweenness(edges) if between is None else between
     return deg.join(pr, "cell_id").join(bt, "cell_id").select(
         "cell_id", "neighbor_degree", "pagerank", "betweenness")
 

@@ -52,7 +52,7 @@ def score(model: PipelineModel, df: DataFrame, out: str = "risk_score") -> DataF
 def feature_importance(model: PipelineModel, features: list[str] = ALL_FEATURES) -> DataFrame:
     """(feature, importance) from the fitted ensemble; one row per feature."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()  # the running session, also off the main thread
     return spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
 
 

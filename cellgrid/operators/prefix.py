@@ -40,10 +40,10 @@ def prefix_sums(df: DataFrame, order: list[Column], sums: list[str], prefix: str
     ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()).checkpoint()
     w_local = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in sums])
-    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])
+    parts = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sums])
     w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     w_all = Window.partitionBy(F.lit(0))                                       # same bounded frame
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
+    offsets = parts.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
                                       for c in sums],
                             *[F.sum(f"_tot_{c}").over(w_all).alias(f"_all_{c}") for c in sums])
     out = local.join(F.broadcast(offsets), "_pid")

@@ -72,10 +72,22 @@ def edges(spark: SparkSession, sf_dir: str, k: int = 2) -> DataFrame:
     return materialize(spark, f"edges-k{k}", key, lambda: graph.neighbor_lattice(cells(spark, sf_dir), k=k))
 
 
+def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import graph, prefix
+    key = _layer_key(spark, sf_dir, code_fingerprint(graph, prefix))
+    return materialize(spark, "pagerank", key, lambda: graph.pagerank(edges(spark, sf_dir)))
+
+
+def betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import graph, prefix
+    key = _layer_key(spark, sf_dir, code_fingerprint(graph, prefix))
+    return materialize(spark, "betweenness", key, lambda: graph.betweenness(edges(spark, sf_dir)))
+
+
 def centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import graph, prefix
     key = _layer_key(spark, sf_dir, code_fingerprint(graph, prefix))
-    return materialize(spark, "centrality", key, lambda: graph.centrality(edges(spark, sf_dir)))
+    return materialize(spark, "centrality", key, lambda: graph.centrality(edges(spark, sf_dir), pagerank(spark, sf_dir), betweenness(spark, sf_dir)))
 
 
 def scores_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -238,6 +238,70 @@ def forecast_fourier(spark, sf_dir):
                        HIST_DAYS, BOUNDS, min_points=SEASON)
 
 
+@query("forecast_trend")
+def forecast_trend(spark, sf_dir):
+    """logistic growth with changepoints and a multiplicative weekly season for every cell, band from simulated
+    trends, fallback chain hw -> naive."""
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "day", ("trend_multiplicative", "hw", "naive"), SEASON,
+                       HIST_DAYS, BOUNDS, min_points=SEASON)
+
+
+# the least-squares line of every cell, in closed form
+cte("line_fit", """
+SELECT cell_id, max(ds) AS last_ds, count(*) AS n, avg(y) AS my, regr_slope(y, t::DOUBLE) AS b, avg(t::DOUBLE) AS mt,
+  sqrt(greatest(var_pop(y) - coalesce(regr_slope(y, t::DOUBLE), 0) * coalesce(covar_pop(y, t::DOUBLE), 0), 0)) AS rmse
+FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY ds) - 1 AS t FROM prb_series) GROUP BY cell_id""", "prb_series")
+cte("line_frame", f"""
+SELECT cell_id, ds, y, CAST(NULL AS DOUBLE) AS yhat, CAST(NULL AS DOUBLE) AS yhat_lower, CAST(NULL AS DOUBLE) AS yhat_upper, 'observed' AS model
+FROM prb_series SEMI JOIN (SELECT cell_id FROM line_fit WHERE n >= {SEASON}) USING (cell_id)
+QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY ds DESC) <= {HIST_DAYS}
+UNION ALL
+SELECT cell_id, last_ds + h * INTERVAL 1 DAY, NULL, {_clip_sql('my + b * (n - 1 + h - mt)')}, {_clip_sql('my + b * (n - 1 + h - mt) - 1.28 * rmse')},
+  {_clip_sql('my + b * (n - 1 + h - mt) + 1.28 * rmse')}, 'linear' FROM line_fit, range(1, {HORIZON + 1}) r(h) WHERE n >= {SEASON}""",
+    "line_fit", "prb_series")
+
+
+@query("forecast_linear", sql(rounded(FC_COLS, FC_DOUBLES, "line_frame"), "line_frame"))
+def forecast_linear(spark, sf_dir):
+    """F5 without season and changepoints: the least-squares line of every cell, bounded 0..100."""
+    return FC.forecast(prb_model_series(spark, sf_dir), "cell_id", HORIZON, "day", ("linear",), SEASON, HIST_DAYS, BOUNDS, min_points=SEASON)
+
+
+# hourly series of every real cell, at the grain of the alerts of the last hour
+_interp_ctes("interp_hour", "gold", "hour")
+cte("naive_hour", f"""
+SELECT cell_id, last_ds + i * INTERVAL 1 HOUR AS ds, {_clip_sql('yhat')} AS yhat, {_clip_sql('yhat - 1.28 * sd')} AS yhat_lower,
+  {_clip_sql('yhat + 1.28 * sd')} AS yhat_upper, 'naive_last' AS model
+FROM (SELECT cell_id, arg_max(y, ds) AS yhat, max(ds) AS last_ds, coalesce(stddev_samp(y), 0.0) AS sd
+      FROM interp_hour GROUP BY cell_id) l, range(1, {HORIZON + 1}) r(i)""", "interp_hour")
+
+
+def cell_hours(spark, sf_dir):
+    """Hourly PRB series of every cell, on a regular grid."""
+    return SE.interpolate(fx.gold(spark, sf_dir, "hour"), "cell_id", "ts_hour", "prb_util_pct_avg", "hour")
+
+
+@query("naive_forecast_hourly", sql(rounded(FC_COLS[:2] + FC_COLS[3:], FC_DOUBLES, "naive_hour"), "naive_hour"))
+def naive_forecast_hourly(spark, sf_dir):
+    """F6/F8 for every cell: the next 12 hours."""
+    return FC.naive_forecast(cell_hours(spark, sf_dir), "cell_id", HORIZON, "hour", z=FC.Z80, bounds=BOUNDS)
+
+
+@query("breach_probability_hourly", sql(f"""SELECT cell_id, round(count_if(yhat_upper >= 85) / {float(HORIZON)}, 6) AS p_breach
+FROM naive_hour GROUP BY cell_id""", "naive_hour"))
+def breach_probability_hourly(spark, sf_dir):
+    """A7 for every cell: share of the next 12 hours whose upper band reaches 85%."""
+    return FC.breach_probability(FC.naive_forecast(cell_hours(spark, sf_dir), "cell_id", HORIZON, "hour", z=FC.Z80, bounds=BOUNDS), 85.0, HORIZON)
+
+
+@query("forecast_hourly")
+def forecast_hourly(spark, sf_dir):
+    """F5/F7 for every cell: the next 12 hours by trend with changepoints and a daily season, fallback chain hw -> naive;
+    the last 24 hours observed."""
+    return FC.forecast(cell_hours(spark, sf_dir).select("cell_id", "ds", "y"), "cell_id", HORIZON, "hour", ("trend", "hw", "naive"), 24, 24, BOUNDS,
+                       min_points=24)
+
+
 @query("forecast_latency")
 def forecast_latency(spark, sf_dir):
     """F4/F5 for latency p95 of every cell: trend + weekly Fourier terms, Holt-Winters fallback, series that neither
@@ -341,10 +405,11 @@ def alerts_export(spark, sf_dir):
 @query("alerts_model")
 def alerts_model(spark, sf_dir):
     """P16/T1/T2 end to end with the fitted boosted trees: latest scores, threshold = the model's best-F1
-    operating point on the test rows, priority with breach probability and graph position, tree reasons."""
+    operating point on the test rows, priority with breach probability and graph position, Shapley reasons."""
     from ..operators import attribution as AT
     from ..operators import evaluation as EV
     from ..operators import model as M
+    from ..operators import shap as S
     from ..operators import slices as L
     from ..schemas import ALL_FEATURES
     from .q_graph_model import _gbt, features_df
@@ -356,5 +421,5 @@ def alerts_model(spark, sf_dir):
     scores = (M.score(model, latest).select("cell_id", "region", "ts_hour", "risk_score", "neighbor_degree",
                                             "pagerank", "betweenness")
               .join(gold_cols, ["cell_id", "region", "ts_hour"], "left"))
-    reasons = AT.top_attributed(AT.tree_attributions(path, latest, ALL_FEATURES), ALL_FEATURES, 3)
+    reasons = AT.top_attributed(S.shap_values(path, latest, ALL_FEATURES), ALL_FEATURES, 3)
     return TR.alerts_table(scores, thr, p_breach_df(spark, sf_dir), reasons)

@@ -358,26 +358,29 @@ def _gbt(spark, sf_dir):
 
 @query("top_reasons_model")
 def top_reasons_model(spark, sf_dir):
-    """M9: top-3 features by |tree path attribution| of the boosted trees, latest period."""
+    """M9: top-3 features by |Shapley value| of the boosted trees, latest period."""
     from ..operators import attribution as AT
+    from ..operators import shap as S
     _, path, _ = _gbt(spark, sf_dir)
-    att = AT.tree_attributions(path, L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
+    att = S.shap_values(path, L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
     return AT.top_attributed(att, ALL_FEATURES, 3)
 
 
 @query("top_reasons_forest")
 def top_reasons_forest(spark, sf_dir):
-    """M9: top-3 features by |tree path attribution| of the random forest, latest period."""
+    """M9: top-3 features by |Shapley value| of the random forest, latest period."""
     from ..operators import attribution as AT
+    from ..operators import shap as S
     train, _ = _train_test(spark, sf_dir)
     fx.risk_model(spark, sf_dir, "rf", lambda: M.fit_risk_model(train, ALL_FEATURES, "rf"))
-    att = AT.tree_attributions(fx.risk_model_path(spark, sf_dir, "rf"), L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
+    att = S.shap_values(fx.risk_model_path(spark, sf_dir, "rf"), L.latest_hour(features_df(spark, sf_dir)), ALL_FEATURES)
     return AT.top_attributed(att, ALL_FEATURES, 3)
 
 
 @query("global_attribution_model")
 def global_attribution_model(spark, sf_dir):
-    """Mean |tree path attribution| per feature over all test rows."""
+    """Mean |Shapley value| per feature over all test rows."""
     from ..operators import attribution as AT
+    from ..operators import shap as S
     _, path, test = _gbt(spark, sf_dir)
-    return AT.mean_abs_attribution(AT.tree_attributions(path, test, ALL_FEATURES), ALL_FEATURES)
+    return AT.mean_abs_attribution(S.shap_values(path, test, ALL_FEATURES), ALL_FEATURES)

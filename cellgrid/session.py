@@ -116,6 +116,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "cellgrid-tables", *parts])
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared scratch area (any Hadoop file system)."""
+    if not path.startswith(scratch_path(spark) + "/"):
+        raise ValueError(f"{path} is not in the scratch area")
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def _key(*parts: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 

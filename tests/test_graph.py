@@ -60,6 +60,34 @@ def test_betweenness_of_a_path_has_a_closed_form(spark):
     assert got["qhub"] == pytest.approx(40 * 39 / 2) and got["q3"] == 0
 
 
+def test_levels_by_joins_match_golden_and_the_search_in_tasks(spark, edges):
+    got = {r.cell_id: r.betweenness for r in graph.betweenness(edges, task_edges=0, state_rows=30).collect()}
+    assert got.keys() == GOLDEN.keys() and all(abs(got[c] - bt) < 1e-9 for c, (_, _, bt) in GOLDEN.items())
+    rows = [(f"p{i:02d}", f"p{i + 1:02d}") for i in range(13)]
+    path = spark.createDataFrame(rows, "src_cell_id string, dst_cell_id string")
+    got = {r.cell_id: r.betweenness for r in graph.betweenness(path, normalized=False, task_edges=0).collect()}
+    assert all(got[f"p{i:02d}"] == pytest.approx(i * (13 - i)) for i in range(14))
+
+
+def test_a_connected_graph_of_thousands_of_cells_by_levels(spark):
+    import random
+    rnd = random.Random(4)
+    n = 30_000  # a tree of shortcuts keeps it connected and shallow, the rest is random; a hub sees a third of all cells
+    rows = [(f"c{i}", f"c{(i - 1) // 8}") for i in range(1, n)] + [(f"c{rnd.randrange(n)}", f"c{rnd.randrange(n)}") for _ in range(n)]
+    rows += [("c0", f"c{i}") for i in range(2, n, 3)]
+    e = spark.createDataFrame(rows, "src_cell_id string, dst_cell_id string").repartition(8).checkpoint()
+    by_levels = graph.betweenness(e, source_fraction=0.0004, task_edges=1000, state_rows=200_000)
+    in_tasks = graph.betweenness(e, source_fraction=0.0004).withColumnRenamed("betweenness", "b")
+    worst = by_levels.join(in_tasks, "cell_id").selectExpr("max(abs(betweenness - b))", "count(*)", "max(b)").first()
+    assert worst[0] < 1e-9 and worst[1] == n and worst[2] > 0
+
+
+def test_centrality_takes_stored_parts(spark, edges):
+    whole = {r.cell_id: tuple(r) for r in graph.centrality(edges).collect()}
+    parts = graph.centrality(edges, graph.pagerank(edges).checkpoint(), graph.betweenness(edges).checkpoint())
+    assert {r.cell_id: tuple(r) for r in parts.collect()} == whole
+
+
 def test_lattice_reproduces_committed_edges(spark):
     groups = {"r1": ["CELL-008", "CELL-009", "CELL-010", "CELL-011"], "r2": ["CELL-002", "CELL-005"],
               "r3": ["CELL-001", "CELL-003", "CELL-004", "CELL-006", "CELL-007", "CELL-012"]}

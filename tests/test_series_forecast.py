@@ -7,6 +7,7 @@ import pytest
 
 from cellgrid.operators import forecast as FC
 from cellgrid.operators import series as SE
+from cellgrid.operators import seriesfit as SF
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -42,16 +43,6 @@ def test_naive_forecast_horizon_band_bounds(spark):
     assert p.p_breach == 1.0   # last value 85 plus a positive band reaches 85 at every step
 
 
-def test_hw_and_fourier_fits_follow_the_season():
-    t = np.arange(24 * 8, dtype=float)
-    y = 50 + 10 * np.sin(2 * np.pi * t / 24)
-    pred, rmse = FC._hw_fit(y, 24, 24)
-    truth = 50 + 10 * np.sin(2 * np.pi * np.arange(len(t), len(t) + 24) / 24)
-    assert np.max(np.abs(pred - truth)) < 3.0
-    fy, lo, hi = FC._fourier_fit(y, 24, 24, 6, (0.0, 100.0))
-    assert np.max(np.abs(fy - truth)) < 3.0 and np.all(lo <= fy) and np.all(fy <= hi)
-
-
 def test_forecast_chain_falls_back_for_short_series(spark):
     rows = [("long", T0 + dt.timedelta(hours=i), 50 + 10 * float(np.sin(2 * np.pi * i / 24))) for i in range(24 * 3)]
     rows += [("short", T0 + dt.timedelta(hours=i), 40.0) for i in range(5)]
@@ -80,16 +71,7 @@ def test_no_series_past_the_gate_is_lost(spark):
     assert {r.cell_id for r in SE.short_series(df, 9).collect()} == {"c5"}
 
 
-def test_errors_in_a_fit_are_not_swallowed(spark, monkeypatch):
-    import pandas as pd
-    monkeypatch.setattr(FC, "_hw_fit", lambda *a: 1 / 0)
-    fit = FC.make_forecaster("cell_id", 2, "day", ("hw", "naive"), 7, None)
+def test_errors_in_a_fit_are_not_swallowed(monkeypatch):
+    monkeypatch.setattr(SF, "holt_winters", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        fit(pd.DataFrame({"cell_id": ["a"] * 20, "ds": [T0 + dt.timedelta(days=i) for i in range(20)], "y": [1.0] * 20}))
-
-
-def test_weekly_terms_are_a_choice_and_tagged():
-    y = 50 + np.sin(np.arange(24 * 15) / 3)
-    with pytest.raises(FC.TooShort):
-        FC._fourier_fit(y[:24 * 13], 4, 24, 6, None, weekly=True)
-    assert len(FC._fourier_fit(y, 4, 24, 6, None, weekly=True)[0]) == 4
+        SF.fit_matrix(np.ones((3, 20)), ("hw", "naive"), 2, 7)

@@ -39,6 +39,8 @@ def test_series_tail_and_slice(spark):
 
 def test_prefix_sums_and_row_numbers_cross_partitions(spark):
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    assert prefix_sums(df, [F.col("id").asc()], ["v"]).columns == [*df.columns, "cum_v"]
+    assert prefix_sums(df, [F.col("id").asc()], ["v"], totals=True).columns == [*df.columns, "cum_v", "total_v"]
     out = prefix_sums(df, [F.col("id").asc()], ["v"], num_partitions=5).orderBy("id").collect()
     run = 0
     for r in out:
