@@ -96,7 +96,9 @@ def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: s
     from .series import long_enough
     if min_points:
         series = long_enough(series, min_points, key)
-    packed = (series.groupBy(F.col(key).cast("string").alias(key))
+    # a number of partitions of its own: the rows are few and small, but each costs a fit, so they must not be merged into one task
+    spread = series.repartition(int(series.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key).cast("string"))
+    packed = (spread.groupBy(F.col(key).cast("string").alias(key))
               .agg(F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y")))).alias("s"))
               .select(key, F.col("s.ds").alias("ds"), F.col("s.y").alias("y")))
     schema = f"{key} string, ds timestamp_ntz, y double, yhat double, yhat_lower double, yhat_upper double, model string"

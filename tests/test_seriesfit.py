@@ -55,7 +55,7 @@ def test_trend_without_changepoints_is_least_squares():
     assert SF.trend(y, 9, 7, prior=1e-12)[0] == pytest.approx(SF.fourier(y, 9, 7, order=3)[0], abs=1e-6)
 
 
-def test_descent_reaches_the_optimum():
+def test_penalised_fit_is_the_optimum():
     """Subgradient conditions of the penalised problem: exact for the zero changes, equality for the others."""
     rng = np.random.default_rng(5)
     y = np.cumsum(rng.normal(0, 1, (6, 80)), axis=1) + 20
