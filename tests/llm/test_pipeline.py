@@ -40,4 +40,4 @@ def test_stages_and_whole_run(spark, model_file):
 
 def test_registered():
     assert "pipeline" in E.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in E.queries() if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in E.queries() if re.match(r"op\d+_", n)) == list(range(1, 14))
