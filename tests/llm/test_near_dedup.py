@@ -6,7 +6,7 @@ import pytest
 from plain import components_of
 
 from cellgrid.llm import near_dedup as N
-from cellgrid.operators.components import connected_components
+from cellgrid.llm.components import connected_components
 
 @pytest.mark.parametrize("k", [2, 5])
 def test_components_equal_brute_force(spark, k):
