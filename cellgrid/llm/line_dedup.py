@@ -1,23 +1,14 @@
 """Removal of line chunks that repeat anywhere in the corpus.
 
 Lines are hashed, and a rolling hash over two neighbouring line hashes decides where chunks
-end.  A boundary lies
+end.  A repeated run is a stretch of neighbouring pairs of lines that each occur at two places or more; runs of fewer than
+``min_words`` words are left alone.  Two neighbouring pairs of a run belong to one chunk if each has the other as its neighbour
+wherever it stands, so a boundary lies where the surroundings of a repeated passage differ.  Boundaries depend on content
+alone, whatever copies of the surroundings there are: an insertion moves none but those next to it.  Chunks cover their run.
 
-* where the rolling hash is unique in the corpus (nothing repeats across that gap), or at most half as
-  frequent as the one before or after it (a shared passage meets its surroundings), and
-* inside longer repeated runs, where the rolling hash is in the lowest quarter of its range and a local
-  minimum, so that an edit moves only the boundaries next to it.
-
-What lies between two boundaries is a chunk.  Chunks of two lines or more and ``min_words`` words, and single
-lines of ``long_line`` words, are removed wherever they repeat, all but the first occurrence (smallest
+Chunks, and single lines of ``long_line`` words, are removed wherever they repeat, all but the first occurrence (smallest
 id, then text hash, then line); equal hashes only nominate, the bytes are compared before anything goes.
 
-With ``whole_runs`` a repeated run is a stretch of neighbouring pairs that each occur at two places or more, and the ``min_words``
-are those of the whole run.  Pairs of such runs belong to one chunk if each has the other as its neighbour wherever it
-stands, so a chunk is the same in all its places, whatever copies of its surroundings there are; chunks cover the run, and each
-goes wherever it repeats, however short.  The corpus pipeline uses this rule; ``op1_line_dedup`` the one above, which
-``ORACLE_SQL`` restates.
-
 Only hashes and positions are shuffled to find the chunks.  Texts move twice: to cut out the nominated
 pieces, and to drop the confirmed lines.  Frequent hashes are counted with partial aggregation; the joins
 that bring counts and first occurrences back have one row per hash on one side, so a hot hash can be split.
@@ -29,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_LINES = 2
 MIN_WORDS = 20
 LONG_LINE = 50
 _KEY = ["_i", "_t"]
@@ -76,31 +66,6 @@ def _nominated(multi: DataFrame, repeated: DataFrame) -> DataFrame:
     return chunks.join(firsts, "hash").select(*_KEY, "first", "last", "hash", here.eqNullSafe(F.col("o")).alias("is_first"))
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
-    """Chunks whose hash occurs more than once: (_i, _t, first line, last line, hash, is_first)."""
-    grams = _grams(docs, id_col, text_col, long_line)
-    counts = grams.groupBy("kind", "g").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = grams.join(counts, ["kind", "g"]).repartition(*_KEY).dropDuplicates([*_KEY, "kind", "at"])
-
-    w = Window.partitionBy(*_KEY).orderBy("at")
-    near = lambda c, d: F.when(F.lag("at", d).over(w) == F.col("at") - d, F.lag(c, d).over(w))
-    pairs = repeated.filter("kind = 2").withColumns({
-        "n0": near("n", 1), "n1": near("n", -1), "g0": near("g", 1), "g1": near("g", -1)})
-    edge = F.greatest(F.coalesce("n0", F.lit(0)), F.coalesce("n1", F.lit(0))) >= 2 * F.col("n")
-    low = F.coalesce((F.col("g") < F.unhex(F.lit("40"))) & (F.col("g") < F.col("g0")) & (F.col("g") < F.col("g1")), F.lit(False))
-    cut = pairs.withColumn("cut", edge | low)
-    broken = F.col("n0").isNull() | F.lag("cut", 1, False).over(w)
-    runs = cut.withColumn("run", F.sum(broken.cast("int")).over(w)).filter(~F.col("cut"))
-    multi = (runs.groupBy(*_KEY, "run")
-             .agg(F.min("at").alias("first"), (F.max("at") + 1).alias("last"),
-                  (F.sum("w1") + F.max_by("w2", "at")).alias("words"),
-                  F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
-                                                 lambda p: F.hex(p["g"])), "")).alias("hash"))
-             .filter(F.col("words") >= min_words).drop("run", "words"))
-    return _nominated(multi, repeated)
-
-
 def _repeated(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_line: int) -> DataFrame:
     """Grams that occur at two places or more; the pairs only where their whole run has ``min_words`` words."""
     grams = _grams(docs, id_col, text_col, long_line).withColumn("here", F.xxhash64(*_KEY, "at"))
@@ -115,9 +80,9 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_
     return numbered.withColumn("words", words).filter((F.col("kind") == 1) | (F.col("words") >= min_words)).drop("run", "words", "w1", "w2")
 
 
-def run_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
-    """As ``repeated_chunks``, by the rule of whole runs."""
+    """Chunks whose hash occurs more than once: (_i, _t, first line, last line, hash, is_first)."""
     repeated = _repeated(docs, id_col, text_col, min_words, long_line)
     w = Window.partitionBy(*_KEY).orderBy("at")
     near = lambda c, d: F.when(F.lag("at", d).over(w) == F.col("at") - d, F.lag(c, d).over(w))
@@ -142,9 +107,9 @@ def run_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return _nominated(multi, repeated)
 
 
-def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_runs: bool = False, **options) -> DataFrame:
+def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Line numbers to remove per document key (_i, _t), confirmed byte by byte."""
-    chunks = (run_chunks if whole_runs else repeated_chunks)(docs, id_col, text_col, **options)
+    chunks = repeated_chunks(docs, id_col, text_col, **options)
     texts = _keyed(docs.select(id_col, text_col), id_col, text_col).select(*_KEY, F.col(f"`{text_col}`").alias("text"))
     mine = chunks.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last", "hash", "is_first")).alias("c"))
     # the pieces are cut before the explode, so that a long text is not copied once for each of its chunks
@@ -156,9 +121,7 @@ def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     original = pieces.filter("is_first").select("hash", F.col("piece").alias("original"))
     same = pieces.join(original, "hash").filter(F.col("piece") == F.col("original"))
     lines = lambda which: F.array_distinct(F.flatten(F.collect_list(F.when(which, F.sequence("first", "last")))))
-    if not whole_runs:
-        return same.filter(~F.col("is_first")).groupBy(*_KEY).agg(lines(F.lit(True)).alias("_gone"))
-    # chunks of runs may share a line: what the first occurrence of one holds stays, unless it is a long line that goes by itself
+    # chunks may share a line: what the first occurrence of one holds stays, unless it is a long line that goes by itself
     multi, first = F.length("hash") == 32, F.col("is_first")
     gone = F.array_union(lines(~first & ~multi), F.array_except(lines(~first & multi), lines(first & multi)))
     return same.groupBy(*_KEY).agg(gone.alias("_gone")).filter(F.size("_gone") > 0)
@@ -187,30 +150,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select(out)
 
 
-#: The same for a table ``documents``; md5 as the line hash makes both engines choose the same boundaries.
+#: The same for a table ``documents``; a chunk is known by its pairs, its text is compared as well.
 ORACLE_SQL = f"""
-WITH line AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
-              FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
-h AS (SELECT doc_id, text, pos, l, md5(l) AS h, length(l) - length(replace(l, ' ', '')) + 1 AS w FROM line),
-pair AS (SELECT doc_id, text, pos, md5(h || lead(h) OVER d) AS g, w AS w1, lead(w) OVER d AS w2 FROM h
-         WINDOW d AS (PARTITION BY doc_id, text ORDER BY pos)),
+WITH doc AS (SELECT *, row_number() OVER () AS r FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+line AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM doc),
+h AS (SELECT r, doc_id, pos, l, md5(l) AS h, length(l) - length(replace(l, ' ', '')) + 1 AS w FROM line),
+pair AS (SELECT r, doc_id, pos, md5(h || lead(h) OVER d) AS g, w AS w1, lead(w) OVER d AS w2 FROM h WINDOW d AS (PARTITION BY r ORDER BY pos)),
 counted AS (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM pair WHERE g IS NOT NULL),
-near AS (SELECT *, CASE WHEN lag(pos) OVER d = pos - 1 THEN lag(n) OVER d END AS n0, CASE WHEN lead(pos) OVER d = pos + 1 THEN lead(n) OVER d END AS n1,
-                CASE WHEN lag(pos) OVER d = pos - 1 THEN lag(g) OVER d END AS g0, CASE WHEN lead(pos) OVER d = pos + 1 THEN lead(g) OVER d END AS g1
-         FROM counted WHERE n > 1 WINDOW d AS (PARTITION BY doc_id, text ORDER BY pos)),
-cuts AS (SELECT *, greatest(coalesce(n0, 0), coalesce(n1, 0)) >= 2 * n OR coalesce(g < '4' AND g < g0 AND g < g1, false) AS cut FROM near),
-runs AS (SELECT *, sum(CASE WHEN n0 IS NULL OR before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, text ORDER BY pos) AS run
-         FROM (SELECT *, coalesce(lag(cut) OVER (PARTITION BY doc_id, text ORDER BY pos), false) AS before FROM cuts)),
-multi AS (SELECT doc_id, text, min(pos) AS a, max(pos) + 1 AS b FROM runs WHERE NOT cut GROUP BY doc_id, text, run
-          HAVING sum(w1) + max_by(w2, pos) >= {MIN_WORDS}),
-chunk AS (SELECT doc_id, text, a, b, array_to_string(string_split(text, chr(10))[a + 1:b + 1], chr(10)) AS piece, 2 AS kind FROM multi
-          UNION ALL SELECT doc_id, text, pos, pos, l, 1 FROM h WHERE w >= {LONG_LINE}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, piece ORDER BY doc_id, a) AS r FROM chunk),
-gone AS (SELECT DISTINCT doc_id, text, unnest(generate_series(a, b)) AS pos FROM ranked WHERE r > 1),
-kept AS (SELECT line.doc_id, line.text, count(*) AS n_lines, count(gone.pos) AS n_removed,
+numbered AS (SELECT *, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS run FROM counted WHERE n > 1),
+whole AS (SELECT r, run, sum(w1) + max_by(w2, pos) AS words FROM numbered GROUP BY r, run),
+near AS (SELECT r, doc_id, run, pos, g, coalesce(lag(g) OVER d, '') AS g0, coalesce(lead(g) OVER d, '') AS g1
+         FROM numbered JOIN whole USING (r, run) WHERE words >= {MIN_WORDS} WINDOW d AS (PARTITION BY r, run ORDER BY pos)),
+binds AS (SELECT g, min(g0) = max(g0) AND min(g0) <> '' AS lb, min(g1) = max(g1) AND min(g1) <> '' AS rb FROM near GROUP BY g),
+bound AS (SELECT near.*, lb, rb, lag(rb) OVER d AS rb0, lead(lb) OVER d AS lb1 FROM near JOIN binds USING (g) WINDOW d AS (PARTITION BY r, run ORDER BY pos)),
+ends AS (SELECT *, sum(CASE WHEN lb AND coalesce(rb0, false) THEN 0 ELSE 1 END) OVER (PARTITION BY r, run ORDER BY pos) AS c,
+                CASE WHEN lb AND NOT rb0 THEN 1 ELSE 0 END AS skip0, CASE WHEN rb AND NOT lb1 THEN 1 ELSE 0 END AS skip1 FROM bound),
+multi AS (SELECT r, doc_id, min(pos) + min_by(skip0, pos) AS a, max(pos) + 1 - max_by(skip1, pos) AS b, string_agg(g, '' ORDER BY pos) AS hash
+          FROM ends GROUP BY r, doc_id, run, c),
+chunk AS (SELECT r, multi.doc_id, a, b, hash, array_to_string(string_split(text, chr(10))[a + 1:b + 1], chr(10)) AS piece, 2 AS kind
+          FROM multi JOIN doc USING (r) WHERE a <= b
+          UNION ALL SELECT r, doc_id, pos, pos, '', l, 1 FROM h WHERE w >= {LONG_LINE}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, hash, piece ORDER BY doc_id, a) AS k, count(*) OVER (PARTITION BY kind, hash, piece) AS n FROM chunk),
+spread AS (SELECT r, kind, k, unnest(generate_series(a, b)) AS pos FROM ranked WHERE n > 1),
+gone AS (SELECT r, pos FROM spread GROUP BY r, pos
+         HAVING bool_or(kind = 1 AND k > 1) OR (bool_or(kind = 2 AND k > 1) AND NOT bool_or(kind = 2 AND k = 1))),
+kept AS (SELECT line.r, count(*) AS n_lines, count(gone.pos) AS n_removed,
                 coalesce(string_agg(line.l, chr(10) ORDER BY line.pos) FILTER (WHERE gone.pos IS NULL), '') AS rest
-         FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.text = gone.text AND line.pos = gone.pos GROUP BY line.doc_id, line.text)
+         FROM line LEFT JOIN gone ON line.r = gone.r AND line.pos = gone.pos GROUP BY line.r)
 SELECT d.doc_id, coalesce(k.n_lines, 0)::BIGINT AS n_lines, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(k.rest, '')) AS text_sha256
-FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text
+FROM documents d LEFT JOIN doc USING (doc_id, text) LEFT JOIN kept k ON doc.r = k.r
 """

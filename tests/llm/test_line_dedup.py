@@ -1,4 +1,8 @@
 import hashlib
+import random
+
+import pytest
+from plain import lines_without_repeats
 
 from cellgrid.llm import line_dedup as L
 
@@ -44,7 +48,7 @@ def test_odd_rows_and_empty_table(odd_docs, no_docs):
 
 def _rest(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    return {r.doc_id: r.text.split("\n") for r in L.dedup_lines(docs, whole_runs=True).collect()}
+    return {r.doc_id: r.text.split("\n") for r in L.dedup_lines(docs).collect()}
 
 
 def test_passages_of_short_lines_go_whole(spark):
@@ -73,3 +77,20 @@ def test_repeats_inside_a_document_and_lines_where_passages_meet(spark):
     x, y, z = _line("x"), _line("y"), _line("z")
     rest = _rest(spark, [(1, "\n".join([x, y, z])), (2, "\n".join([_line("a"), x, y])), (3, "\n".join([y, z, _line("b")])), (4, "ab cd\n" * 30)])
     assert rest == {1: [x, y, z], 2: [_line("a")], 3: [_line("b")], 4: ["ab cd", "ab cd", ""]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_plain_version(spark, seed):
+    pick = random.Random(seed)
+    stock = [" ".join(f"s{k}" for _ in range(pick.choice([1, 3, 6, 12, 60]))) + f" {k}" for k in range(60)]
+    docs = []
+    for d in range(60):
+        lines = []
+        while len(lines) < pick.randrange(1, 40):
+            a = pick.randrange(60)
+            lines += stock[a:a + pick.randrange(1, 12)] if pick.random() < 0.7 else [_line(f"{d}n{len(lines)}")]
+        docs.append((d, "\n".join(lines)))
+    docs += [(100 + k, docs[pick.randrange(60)][1]) for k in range(10)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.text.split("\n") if r.n_removed < r.n_lines else []) for r in L.dedup_lines(rows, keep_counts=True).collect()}
+    assert got == lines_without_repeats(docs)
