@@ -9,19 +9,26 @@ alone, whatever copies of the surroundings there are: an insertion moves none bu
 Chunks, and single lines of ``long_line`` words, are removed wherever they repeat, all but the first occurrence (smallest
 id, then text hash, then line); equal hashes only nominate, the bytes are compared before anything goes.
 
-Only hashes and positions are shuffled to find the chunks.  Texts move twice: to cut out the nominated
-pieces, and to drop the confirmed lines.  Frequent hashes are counted with partial aggregation; the joins
+Only hashes and positions are shuffled to find the chunks.  Texts move twice, to cut out the nominated
+pieces and to drop the confirmed lines, and only those that a bitmap of 2 ** ``BITMAP`` bits of document key lets through: the
+documents with such pieces or lines, and those that share their bit (more of them in a larger corpus; the join on the full key decides).
+Repeated pairs, chunks and confirmed lines are written tables; the first two are deleted when the last is there.  Frequent hashes are counted with partial aggregation; the joins
 that bring counts and first occurrences back have one row per hash on one side, so a hot hash can be split.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import delete_path, scratch_path
+
 MIN_WORDS = 20
 LONG_LINE = 50
+BITMAP = 24
 _KEY = ["_i", "_t"]
 
 
@@ -80,10 +87,15 @@ def _repeated(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_
     return numbered.withColumn("words", words).filter((F.col("kind") == 1) | (F.col("words") >= min_words)).drop("run", "words", "w1", "w2")
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def repeated_chunks(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, long_line: int = LONG_LINE) -> DataFrame:
-    """Chunks whose hash occurs more than once: (_i, _t, first line, last line, hash, is_first)."""
-    repeated = _repeated(docs, id_col, text_col, min_words, long_line)
+    """Chunks whose hash occurs more than once: (_i, _t, first line, last line, hash, is_first), with work tables in ``folder``."""
+    repeated = _stored(_repeated(docs, id_col, text_col, min_words, long_line), f"{folder}/repeated")
     w = Window.partitionBy(*_KEY).orderBy("at")
     near = lambda c, d: F.when(F.lag("at", d).over(w) == F.col("at") - d, F.lag(c, d).over(w))
     pairs = (repeated.filter("kind = 2").drop("kind", "here").withColumn("e", F.xxhash64("g"))
@@ -104,13 +116,30 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "g"))),
                                                  lambda p: F.hex(p["g"])), "")).alias("hash"))
              .filter("first <= last").drop("chunk"))
-    return _nominated(multi, repeated)
+    return _stored(_nominated(multi, repeated), f"{folder}/chunks")
+
+
+def _bit() -> tuple[Column, Column]:
+    """Place of a document key's word in the bitmap, and its bit there."""
+    h = F.xxhash64(*_KEY)
+    return F.shiftrightunsigned(h, 64 - BITMAP + 6), F.expr("shiftleft(1L, CAST(xxhash64(_i, _t) & 63 AS INT))")
+
+
+def _flagged(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keyed`` with _in: false only for documents that are not among ``keys``; no shuffle of ``keyed``."""
+    place, bit = _bit()
+    bitmap = keys.groupBy(place.alias("_place")).agg(F.bit_or(bit).alias("_bits"))
+    return (keyed.withColumn("_place", place).join(F.broadcast(bitmap), "_place", "left")
+            .withColumn("_in", F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_place", "_bits"))
 
 
 def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Line numbers to remove per document key (_i, _t), confirmed byte by byte."""
-    chunks = repeated_chunks(docs, id_col, text_col, **options)
+    """Line numbers to remove per document key (_i, _t), confirmed byte by byte; a written table."""
+    spark = docs.sparkSession
+    folder = scratch_path(spark, f"lines-{uuid.uuid4().hex[:12]}")
+    chunks = repeated_chunks(docs, f"{folder}/work", id_col, text_col, **options)
     texts = _keyed(docs.select(id_col, text_col), id_col, text_col).select(*_KEY, F.col(f"`{text_col}`").alias("text"))
+    texts = _flagged(texts, chunks).filter("_in").drop("_in")
     mine = chunks.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last", "hash", "is_first")).alias("c"))
     # the pieces are cut before the explode, so that a long text is not copied once for each of its chunks
     pieces = (texts.dropDuplicates(_KEY).join(mine, _KEY).withColumn("line", F.split("text", "\n", -1))
@@ -124,7 +153,9 @@ def removable_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # chunks may share a line: what the first occurrence of one holds stays, unless it is a long line that goes by itself
     multi, first = F.length("hash") == 32, F.col("is_first")
     gone = F.array_union(lines(~first & ~multi), F.array_except(lines(~first & multi), lines(first & multi)))
-    return same.groupBy(*_KEY).agg(gone.alias("_gone")).filter(F.size("_gone") > 0)
+    out = _stored(same.groupBy(*_KEY).agg(gone.alias("_gone")).filter(F.size("_gone") > 0), f"{folder}/gone")
+    delete_path(spark, f"{folder}/work")
+    return out
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_counts: bool = False,
@@ -134,10 +165,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end at "\\n".  A null text stays null and has no lines; an empty text is one empty line.  Rows that agree
     in id and text are the same document and get the same result; null ids order first.  ``keep_counts`` adds
     ``n_lines`` and ``n_removed`` (long), replacing columns of those names; otherwise names that start with an
-    underscore and clash with the work columns _i, _t, _line and _gone are the only ones not allowed.
+    underscore and clash with the work columns _i, _t, _line, _gone, _place, _bits and _in are the only ones not allowed.
     """
     gone = removable_lines(docs, id_col, text_col, **options)
-    joined = (_keyed(docs, id_col, text_col).join(gone, _KEY, "left")
+    flagged = _flagged(_keyed(docs, id_col, text_col), gone)
+    untouched = flagged.filter(~F.col("_in")).withColumn("_gone", F.lit(None).cast(gone.schema["_gone"].dataType))
+    joined = (flagged.filter("_in").join(gone, _KEY, "left").unionByName(untouched)
               .withColumn("_line", F.split(F.col(f"`{text_col}`"), "\n", -1)))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_line") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col(f"`{text_col}`")).otherwise(
