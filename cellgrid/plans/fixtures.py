@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import layers
+from ..operators import layers, sketches
 from ..schemas import GOLD, SILVER
 from ..session import code_fingerprint, input_fingerprint, layer_path, materialize, materialize_layer
 from ..sources.adapters import bronze_from_events
@@ -44,6 +44,18 @@ def gold(spark: SparkSession, sf_dir: str, grain: str = "hour", merge_cells: int
                                                  grain=grain, strict_label=strict_label), schema=GOLD)
 
 
+def latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantile sketches of the latency per (cell, region, hour), stored beside gold."""
+    return materialize(spark, "sketch-latency", f"{_layer_key(spark, sf_dir)}|{code_fingerprint(sketches)}",
+                       lambda: sketches.quantile_layer(silver(spark, sf_dir)))
+
+
+def cell_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct-cell sketches per (date, region), stored beside gold."""
+    return materialize(spark, "sketch-cells", f"{_layer_key(spark, sf_dir)}|{code_fingerprint(sketches)}",
+                       lambda: sketches.distinct_layer(silver(spark, sf_dir)))
+
+
 def gold_path(spark: SparkSession, sf_dir: str, grain: str = "hour") -> str:
     """Root folder of the written gold layer."""
     gold(spark, sf_dir, grain)

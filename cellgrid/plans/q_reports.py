@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import aggregates as A
 from ..operators import quality as Q
+from ..operators import sketches as K
 from ..operators import slices as L
 from ..sources import readers as R
 from . import fixtures as fx
@@ -133,6 +134,22 @@ def cell_counts(spark, sf_dir):
     return A.cell_counts(fx.gold(spark, sf_dir))
 
 
+@query("p95_daily_merged", sql("""
+SELECT cell_id, region, date, count(latency_ms) AS n, round(quantile_disc(latency_ms, 0.95), 6) AS latency_p95
+FROM silver GROUP BY cell_id, region, date""", "silver"))
+def p95_daily_merged(spark, sf_dir):
+    """A2 for later groupings: p95 per cell and day from the stored hourly sketches (exact: a day has fewer than 200 samples)."""
+    return K.merged_quantile(fx.latency_sketches(spark, sf_dir), ["cell_id", "region", "date"]).withColumnRenamed("value_q", "latency_p95")
+
+
+@query("cells_in_week", sql("""
+SELECT d.date, count(DISTINCT s.cell_id) AS n_distinct
+FROM (SELECT DISTINCT date FROM silver) d JOIN silver s ON s.date BETWEEN d.date - INTERVAL 6 DAY AND d.date GROUP BY d.date""", "silver"))
+def cells_in_week(spark, sf_dir):
+    """A10 for windows: distinct cells of the seven days up to each date, from the stored daily sketches."""
+    return K.distinct_in_window(fx.cell_sketches(spark, sf_dir), 7)
+
+
 @query("distinct_values", sql("""
 SELECT DISTINCT 'region' AS "column", CAST(region AS VARCHAR) AS value FROM silver
 UNION ALL SELECT DISTINCT 'date', CAST(date AS VARCHAR) FROM silver
