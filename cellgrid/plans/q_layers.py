@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from ..operators import layers
+from ..operators.refresh import refresh_gold
+from ..session import scratch_path
+from ..sources.readers import read_layer
+from ..sources.sinks import write_layer
 from . import fixtures as fx
 from .oracle_base import GOLD_COLS, GOLD_DOUBLES, KPIS, rounded, sql
 from .registry import query
@@ -29,6 +37,19 @@ def gold(spark, sf_dir):
     return fx.gold(spark, sf_dir, "hour", fresh=True)
 
 
+@query("gold_refreshed", sql(rounded(GOLD_COLS, GOLD_DOUBLES, "gold"), "gold"))
+def gold_refreshed(spark, sf_dir):
+    """Gold after two loads of silver files, the second with late rows of every tenth day of a month, each followed by a refresh."""
+    silver_path, gold_path, state = (scratch_path(spark, f"refresh-{uuid.uuid4().hex[:12]}", n) for n in ("silver", "gold", "state"))
+    silver = fx.silver(spark, sf_dir)
+    late = (F.dayofmonth("date") % 10 == 0) & (F.pmod(F.xxhash64("cell_id", "ts"), F.lit(4)) == 0)
+    write_layer(silver.filter(~late), silver_path)
+    refresh_gold(spark, silver_path, gold_path, state)
+    silver.filter(late).hint("rebalance", "date", "region").write.mode("append").partitionBy("date", "region").parquet(silver_path)
+    refresh_gold(spark, silver_path, gold_path, state)
+    return read_layer(spark, gold_path, spark.read.parquet(gold_path).schema).select(*GOLD_COLS)
+
+
 @query("gold_daily", sql(rounded(GOLD_COLS, GOLD_DOUBLES, "gold_day"), "gold_day"))
 def gold_daily(spark, sf_dir):
     """Same rollup at day grain (the series grain used by labels, lags and forecasts)."""

@@ -4,9 +4,9 @@ Same silver rules and hourly rollup as the batch layers, fed by new files in a
 source folder.  Event-time windows with a watermark bound the state: an hour is
 finalised (appended) once the watermark passes its end, late rows inside the
 allowed lateness still update it.  Later rows cannot change a finalised hour; they are
-counted (``dropped_late_rows``) and still reach the silver layer (``start_silver``), from which the
-batch job rebuilds the hours concerned.  The next-hour label needs the following hour
-and stays in the batch job (window functions are not streamable).
+counted (``dropped_late_rows``) and still reach the silver layer (``start_silver``), from which
+``operators.refresh.refresh_gold`` rebuilds the partitions concerned, with labels.  The next-hour label needs the following hour
+and is left to it (window functions are not streamable).
 """
 
 from __future__ import annotations
