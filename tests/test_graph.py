@@ -60,6 +60,17 @@ def test_betweenness_of_a_path_has_a_closed_form(spark):
     assert got["qhub"] == pytest.approx(40 * 39 / 2) and got["q3"] == 0
 
 
+def test_more_shortest_paths_than_a_double_holds():
+    import numpy as np
+    n = 1200  # a chain of diamonds doubles the paths at each step: 2 ** 1200 from end to end
+    rows = [e for a in range(0, 3 * n, 3) for e in ((a, a + 1), (a, a + 2), (a + 1, a + 3), (a + 2, a + 3))]
+    u, v = np.array(rows + [(b, a) for a, b in rows]).T
+    total = graph._brandes(u, v, 3 * n + 1, np.arange(3 * n + 1))
+    for i in (1, 600, n - 1):  # all pairs of the two sides, and half of the pairs of both vertices beside it
+        assert total[3 * i] == pytest.approx(2 * 3 * i * 3 * (n - i) + 2, rel=1e-9)
+    assert np.isfinite(total).all()
+
+
 def test_levels_by_joins_match_golden_and_the_search_in_tasks(spark, edges):
     got = {r.cell_id: r.betweenness for r in graph.betweenness(edges, task_edges=0, state_rows=30).collect()}
     assert got.keys() == GOLDEN.keys() and all(abs(got[c] - bt) < 1e-9 for c, (_, _, bt) in GOLDEN.items())
