@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip
+from .seriesfit import SIMULATIONS, fit_matrix
 from .seriesfit import Z80 as Z80
-from .seriesfit import fit_matrix
 from .slices import series_tail
 
 #: model tags of rows that are no prediction: the observed tail, and a series that no method could fit
@@ -48,6 +48,9 @@ def naive_forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, s
     return fut
 
 
+#: numbers (points, or simulated steps of the band) of the series that are fitted as one matrix
+FIT_NUMBERS = 2_000_000
+
 _MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000}
 
 
@@ -62,11 +65,17 @@ def _fit_batches(key: str, horizon: int, step: str, methods: tuple[str, ...], se
             [keys.take(pa.array(np.repeat(np.arange(len(ds)), width))), pa.array(ds.ravel()).cast(pa.timestamp("us")),
              *[pa.array(nothing if x is None else x.ravel()) for x in (y, *parts)], pa.array(np.repeat(model, width), pa.string())], names=names)
 
+    def pieces(b, n):
+        for length in np.unique(n):
+            at = np.flatnonzero(n == length)
+            rows_at_once = max(1, FIT_NUMBERS // max(int(length), SIMULATIONS * horizon))
+            for start in range(0, len(at), rows_at_once):
+                yield b.take(pa.array(at[start:start + rows_at_once])), length
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = np.asarray(b.column("y").value_lengths())
-            for length in np.unique(n):
-                part = b.filter(pa.array(n == length))
+            for part, length in pieces(b, n):
                 keys = part.column(key)
                 ds = np.asarray(part.column("ds").flatten().cast(pa.int64())).reshape(-1, length)
                 y = np.asarray(part.column("y").flatten(), dtype=float).reshape(-1, length)
@@ -97,10 +106,13 @@ def forecast(series: DataFrame, key: str = "cell_id", horizon: int = 12, step: s
     if min_points:
         series = long_enough(series, min_points, key)
     # a number of partitions of its own: the rows are few and small, but each costs a fit, so they must not be merged into one task
-    spread = series.repartition(int(series.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key).cast("string"))
+    parts = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = series.repartition(parts, F.col(key).cast("string"))
     packed = (spread.groupBy(F.col(key).cast("string").alias(key))
               .agg(F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y")))).alias("s"))
-              .select(key, F.col("s.ds").alias("ds"), F.col("s.y").alias("y")))
+              .select(key, F.col("s.ds").alias("ds"), F.col("s.y").alias("y"), F.size("s").alias("n")))
+    # series of one length meet in one task (or in neighbours, where they are many), since a matrix costs little more than one series
+    packed = packed.repartitionByRange(parts, "n", key).sortWithinPartitions("n", key).drop("n")
     schema = f"{key} string, ds timestamp_ntz, y double, yhat double, yhat_lower double, yhat_upper double, model string"
     out = packed.mapInArrow(_fit_batches(key, horizon, step, methods, season, hist, bounds), schema)
     return out.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in ("y", "yhat", "yhat_lower", "yhat_upper")})

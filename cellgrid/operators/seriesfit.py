@@ -123,6 +123,7 @@ def _lasso(gram: np.ndarray, cross: np.ndarray, penalty: np.ndarray) -> np.ndarr
     values, vectors = np.linalg.eigh(g)
     rho = np.sqrt(max(values[-1], 1e-12) * max(values[0], 1e-6))  # between the curvatures
     inverse = (vectors / (values + rho)) @ vectors.T
+    result, open_ = np.zeros_like(x), np.arange(x.shape[1])
     z, u = np.zeros_like(x), np.zeros_like(x)
     for step in range(STEPS):
         c = inverse @ (x + rho * (z - u))
@@ -130,9 +131,15 @@ def _lasso(gram: np.ndarray, cross: np.ndarray, penalty: np.ndarray) -> np.ndarr
         before = z
         z = np.sign(c + u) * np.maximum(np.abs(c + u) - limit / rho, 0)
         u = u + c - z
-        if step % 20 == 19 and max(np.abs(c - z).max(), np.abs(z - before).max()) < 1e-9:
-            break
-    return z / size[:, None]
+        if step % 20 == 19:
+            done = np.maximum(np.abs(c - z), np.abs(z - before)).max(axis=0) < 1e-9
+            if done.any():  # a series stops by its own change, whatever others are fitted with it
+                result[:, open_[done]] = z[:, done]
+                open_, x, limit, z, u = open_[~done], x[:, ~done], limit[:, ~done], z[:, ~done], u[:, ~done]
+                if not len(open_):
+                    break
+    result[:, open_] = z
+    return result / size[:, None]
 
 
 def piecewise_trend(target: np.ndarray, waves: list[np.ndarray], prior: float, n_changes: int) -> Trend:

@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cellgrid.operators import forecast as FC
 from cellgrid.operators import series as SE
@@ -75,3 +76,26 @@ def test_errors_in_a_fit_are_not_swallowed(monkeypatch):
     monkeypatch.setattr(SF, "holt_winters", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         SF.fit_matrix(np.ones((3, 20)), ("hw", "naive"), 2, 7)
+
+
+def test_series_of_one_length_meet_and_matrices_stay_small(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from cellgrid.operators import forecast as FC
+    rows = spark.range(160).selectExpr("concat('c', id) AS cell_id", "explode(sequence(0, 20 + cast(id % 8 as int))) AS i")
+    series = rows.selectExpr("cell_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(i) AS ds", "cast(i % 7 as double) AS y")
+    out = FC.forecast(series, "cell_id", 3, "day", ("naive",), 7, 40)
+    per_cell = out.groupBy("cell_id").agg(F.count_if(F.col("model") == "observed").alias("n"), F.max(F.spark_partition_id()).alias("p"))
+    at = out.select("cell_id", F.spark_partition_id().alias("p")).distinct().join(per_cell.select("cell_id", "n"), "cell_id")
+    assert at.select("n").distinct().count() == 8 and at.select("n", "p").distinct().count() < 8 + 8
+
+    sizes = []
+    whole = FC.fit_matrix
+    monkeypatch.setattr(FC, "fit_matrix", lambda y, *a: sizes.append(len(y)) or whole(y, *a))
+    n = 1500
+    batch = pa.RecordBatch.from_pydict({"cell_id": [f"c{i}" for i in range(n)],
+                                        "ds": pa.array([[d * 86_400_000_000 for d in range(30)]] * n, pa.list_(pa.timestamp("us"))),
+                                        "y": np.random.default_rng(1).random((n, 30)).tolist()})
+    run = FC._fit_batches("cell_id", 12, "day", ("trend_multiplicative",), 7, 14, (0.0, 100.0))
+    found = sum(b.num_rows for b in run(iter([batch])))
+    assert found == n * (14 + 12) and sum(sizes) == n and max(sizes) * FC.SIMULATIONS * 12 <= FC.FIT_NUMBERS

@@ -119,3 +119,11 @@ def test_short_series_fall_through_and_rows_are_judged_one_by_one():
     assert list(model) == ["linear", None, "linear"]
     assert SF.fourier(many(1, 90), 4, 7, weekly=True) is None and SF.fourier(many(1, 98), 4, 7, weekly=True)[0].shape == (1, 4)
     assert list(SF.fit_matrix(many(2, 30), ("trend", "naive"), 3, 7, (0.0, 100.0))[3]) == ["trend_logistic"] * 2
+
+
+def test_a_trend_does_not_depend_on_the_series_fitted_with_it():
+    y = np.vstack([many(3, 90, 4), 1000 * np.random.default_rng(6).random((5, 90))])
+    together, alone = SF.trend(y, 6, 7), [SF.trend(y[i:i + 1], 6, 7) for i in range(len(y))]
+    for i, one in enumerate(alone):
+        for a, b in zip(together, one, strict=True):
+            assert a[i] == pytest.approx(b[0], rel=1e-11)
