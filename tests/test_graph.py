@@ -133,3 +133,13 @@ def test_sampled_betweenness_is_scaled(edges):
     exact = {r.cell_id: r.betweenness for r in graph.betweenness(edges).collect()}
     full = {r.cell_id: r.betweenness for r in graph.betweenness(edges, source_fraction=0.999999).collect()}
     assert exact.keys() == full.keys()
+
+
+def test_pagerank_and_betweenness_wait_for_nothing_else(spark, monkeypatch):
+    import __spark_entry__ as E
+    from cellgrid.plans import fixtures as fx
+    for name in ("pagerank", "betweenness"):
+        monkeypatch.setattr(fx, name, lambda s, d, name=name: s.createDataFrame([("a", 0.5)], f"cell_id string, {name} double"))
+    monkeypatch.setattr(fx, "centrality", None)
+    for name in ("pagerank", "betweenness"):
+        assert [tuple(r) for r in E.queries()[name](spark, "nowhere").collect()] == [("a", 0.5)]
