@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import cut, ensure_checkpoint_dir
 from .bytescan import SPACED, mix, range_hashes, slices, utf8, words
 from .components import connected_components
 
@@ -144,7 +144,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     member = (usable.join(classes, ["s1", "s2", "n"]).filter("id = rep")
               .select("id", "n", F.explode("bands").alias("key")))
     crowded = member.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    met = member.join(crowded, "key").select("key", "id", "n", "c").checkpoint()
+    met = cut(member.join(crowded, "key").select("key", "id", "n", "c"))
 
     popular = met.groupBy("id").agg(F.sum("c").alias("p"))
     ranked = met.join(popular, "id")
@@ -154,18 +154,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     alike = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     star = met.join(centres, "key").select("id", "n", F.explode(F.array(
         F.struct("c1.id", "c1.n"), F.struct("c2.id", "c2.n"))).alias("c"))
-    first = (star.filter((F.col("id") != F.col("c.id")) & alike(F.col("n"), F.col("c.n")))
-             .select(*_pairs(F.col("id"), F.col("c.id"))).distinct()).checkpoint()
+    first = cut(star.filter((F.col("id") != F.col("c.id")) & alike(F.col("n"), F.col("c.n")))
+                .select(*_pairs(F.col("id"), F.col("c.id"))).distinct())
 
-    texts = narrow.join(met.select("id").distinct(), "id", "left_semi").checkpoint()
-    links = _links(first, texts, shingle, percent).checkpoint()
-    component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).checkpoint()
+    texts = cut(narrow.join(met.select("id").distinct(), "id", "left_semi"))
+    links = cut(_links(first, texts, shingle, percent))
+    component = cut(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
     placed = (met.join(component, F.col("id") == F.col("vertex"), "left")
               .select("key", "id", "n", F.coalesce("component", "id").alias("k")))
     split = (placed.groupBy("key").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("size"), F.min("n").alias("least"))
              .filter("lo != hi").select("key", "size", "least"))
-    open_ = placed.join(split, "key").checkpoint()
+    open_ = cut(placed.join(split, "key"))
     few = _apart(open_.filter(F.col("size") <= DIRECT), percent).distinct().join(first, ["a", "b"], "left_anti")
     many = open_.filter(F.col("size") > DIRECT).join(centres.select("key", F.col("c1.id").alias("c")), "key")
     more = _links(few, texts, shingle, percent).unionAll(_against_the_rest(many, texts, shingle, percent))

@@ -61,12 +61,10 @@ class KneserNey:
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back; shuffle files that it took are given back.
-
-    Spark deletes the files of a shuffle when the driver's garbage collector finds that no plan refers to them, so it is asked to look.
-    """
+    """``df`` written once to the shared scratch folder and read back; shuffle files that it took are given back."""
+    from ..session import free_shuffles
     df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    free_shuffles(df.sparkSession)
     return df.sparkSession.read.parquet(path)
 
 
