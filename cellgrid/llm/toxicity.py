@@ -7,10 +7,10 @@ The discount is the same rate in both classes (``RARE`` in the smaller one).  So
 either falls back on the counts below it in both, where the two probabilities are proportional and it decides nothing.
 
 The log ratio log P(w | v, toxic) - log P(w | v, ordinary) is the sum of a part of the word, one of the context v (the ratio
-of the two rests) and one of the pair.  Of each counts what exceeds ``MARGIN`` on either side (classes that mix languages or
-topics differently shift many words a little).  A document has two means over its words, of the word's part and of the
-two others.  A logistic curve over both means and their multiples by the square root of the length (short texts vary more) makes
-them a score; where word pairs tell nothing beyond words, it gives them no weight.
+of the two rests) and one of the pair.  Each is told apart into what exceeds ``MARGIN`` on either side, strong evidence, and the rest,
+faint evidence (classes that mix languages or topics differently shift many words a little).  Nothing of it is dropped: a document has four
+means over its words, strong and faint, of the word's part and of the two others.  A logistic curve over the means and their multiples by
+the square root of the length (short texts vary more) makes them a score; where a mean tells nothing, it gives it no weight.
 
 Rows for learning have crc32(id) mod 3 != 1.  Equal texts are one (toxic if one of them is).  The distinct texts fall in two halves by
 hash; each half gives the counts under which the curve sees the other half, and the counts that are used in the end are
@@ -20,8 +20,9 @@ Words are told apart by 32 bits of their hash, so a pair is one 64-bit number.
 from them one further aggregation yields words and contexts, and a filter the pairs that exceed the discount.  What is kept
 has the size of the vocabulary; the counted pairs are deleted.
 
-The table of evidence stays distributed: the tasks receive a bitmap of 2 ** ``BITMAP`` bits of key hash, of one size, and what
-passes it in the texts is joined with the table.  The curve is fitted on about ``CURVE_ROWS`` rows (those whose id hash is
+The table of strong evidence stays distributed: the tasks receive a bitmap of 2 ** ``BITMAP`` bits of key hash, of one size, and what
+passes it in the texts is joined with the table.  Faint evidence, which every word of every text has, is read from a table of one
+size as well: 2 ** ``FAINT`` bytes by key hash, where keys that share a place hold their mean by occurrence.  The curve is fitted on about ``CURVE_ROWS`` rows (those whose id hash is
 below a threshold that follows from their number), the only sample taken.
 """
 
@@ -44,20 +45,24 @@ THRESHOLD = 0.7
 RARE = 1.5
 MARGIN = 2.0
 BITMAP = 26
+FAINT = 23
+_STEP = 2 * MARGIN / 127  # of faint evidence; that of a pair is a difference of two parts
 FILTER = 18  # 2 ** FILTER rows of 64 bits tell which ids may have a label
 _BEGIN = np.uint64(0)  # stands before the first word of a text
 _SUMS = 5
+_MEANS = ("x0", "x1", "y0", "y1")  # strong and faint evidence
 
 
 @dataclass
 class KneserNey:
-    """Evidence (key, word, pair; one row per key), a bitmap of the keys, and the logistic curve."""
+    """Strong evidence (key, word, pair; one row per key), a bitmap of its keys, faint evidence by key hash, and the logistic curve."""
 
     entries: DataFrame | None = None
     bits: np.ndarray = field(default_factory=lambda: np.zeros(1 << (BITMAP - 6), np.uint64))
-    curve: np.ndarray = field(default_factory=lambda: np.zeros(5))
-    center: np.ndarray = field(default_factory=lambda: np.zeros(4))
-    scale: np.ndarray = field(default_factory=lambda: np.ones(4))
+    faint: np.ndarray = field(default_factory=lambda: np.zeros(1 << FAINT, np.int8))
+    curve: np.ndarray = field(default_factory=lambda: np.zeros(9))
+    center: np.ndarray = field(default_factory=lambda: np.zeros(8))
+    scale: np.ndarray = field(default_factory=lambda: np.ones(8))
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -110,8 +115,16 @@ def _hits(bits: np.ndarray, texts: pa.Array):
     return row[new], key[new], np.diff(np.append(new, len(key))), np.diff(first)
 
 
+def _faint(table: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of faint evidence (of words, of pairs and contexts) of each text, and its number of words."""
+    *parts, first = _word_pairs(texts)
+    word, context, pair = (table[(entry_keys(tag, x).view(np.uint64) >> np.uint64(64 - FAINT)).astype(np.int64)] for tag, x in enumerate(parts))
+    sums = [np.concatenate([[0], np.cumsum(p, dtype=np.int64)]) for p in (word, context.astype(np.int64) + pair)]
+    return np.column_stack([p[first[1:]] - p[first[:-1]] for p in sums]) * _STEP, np.diff(first)
+
+
 def evidence(m: KneserNey, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Mean evidence (of words, of pairs and contexts) of each of a few texts (0 without words) and its number of words."""
+    """Mean strong evidence (of words, of pairs and contexts) of each of a few texts (0 without words) and its number of words."""
     row, key, times, count = _hits(m.bits, texts)
     total = np.zeros((len(texts), 2))
     if len(key):
@@ -193,8 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     features, truth = [], []
     for half in (0, 1):
         if models[1 - half] is not None:
-            points = _with_evidence(sample.filter(F.col("half") == half), models[1 - half], keep=["toxic"]).select("row.toxic", "x0", "x1", "n").toArrow()
-            features.append(_features(np.column_stack([np.asarray(points["x0"]), np.asarray(points["x1"])]), np.asarray(points["n"])))
+            points = _with_evidence(sample.filter(F.col("half") == half), models[1 - half], keep=["toxic"]).select("row.toxic", *_MEANS, "n").toArrow()
+            features.append(_features(np.column_stack([np.asarray(points[c]) for c in _MEANS]), np.asarray(points["n"])))
             truth.append(np.asarray(points["toxic"], dtype=np.float64))
     if features:
         _fit_curve(models[2], np.vstack(features), np.concatenate(truth))
@@ -206,6 +219,10 @@ def _beyond(gain: Column) -> Column:
     return F.signum(gain) * F.greatest(F.abs(gain) - MARGIN, F.lit(0.0))
 
 
+def _within(gain: Column) -> Column:
+    return F.greatest(F.least(gain, F.lit(MARGIN)), F.lit(-MARGIN))
+
+
 def _discounted(k: Column, size: float, rate: float) -> Column:
     return F.greatest(k - F.lit(rate * size), F.lit(0.0))
 
@@ -233,7 +250,8 @@ def _counts(pairs: DataFrame) -> DataFrame:
 
 
 def _of_counts(counts: DataFrame, part: int, path: str) -> KneserNey | None:
-    """The model of one part, its evidence stored at ``path``; None without words in both classes."""
+    """The model of one part, its strong evidence stored at ``path``; None without words in both classes."""
+    from ..session import free_shuffles
     half = lambda i: F.shiftrightunsigned(f"s{i // 2}", 32) if i % 2 else F.col(f"s{i // 2}").bitwiseAND(F.lit(0xFFFFFFFF))
     kinds = counts.filter("tag = 0").select(F.col("x").alias("w"), *[half(3 * part + i).alias(c) for i, c in enumerate(("a", "b", "e"))])
     k = [F.col("a"), F.col("b")]
@@ -244,7 +262,7 @@ def _of_counts(counts: DataFrame, part: int, path: str) -> KneserNey | None:
     rate = RARE / min(size)
     own = [_discounted(k[c], size[c], rate) / F.lit(size[c]) for c in range(2)]
     used = kinds.agg(*[F.sum(own[c]).alias(f"s{c}") for c in range(2)]).first()
-    word = kinds.filter("e > 0").select("w", *[(own[c] + F.lit((1 - used[f"s{c}"]) / sums["s"]) * F.col("e")).alias(f"p{c}") for c in range(2)])
+    word = kinds.filter("e > 0").select("w", "e", *[(own[c] + F.lit((1 - used[f"s{c}"]) / sums["s"]) * F.col("e")).alias(f"p{c}") for c in range(2)])
 
     texts = [F.expr(e.replace("k", "s")) for e in _PARTS[part]]
     follows = counts.filter("tag = 1").select(F.col("x").alias("v"), *[t.alias(f"n{c}") for c, t in enumerate(texts)])
@@ -255,20 +273,29 @@ def _of_counts(counts: DataFrame, part: int, path: str) -> KneserNey | None:
                                              *[t.alias(f"k{c}") for c, t in enumerate(texts)])
              .filter((F.col("k0") > least * seen[0]) | (F.col("k1") > least * seen[1])))
     share = often.join(follows, "v").select("x", "v", "w", *[
-        (_discounted(F.col(f"k{c}"), seen[c], least) / F.greatest(F.col(f"n{c}"), F.lit(1))).alias(f"o{c}") for c in range(2)])
-    context = share.groupBy("v").agg(*[(1 - F.sum(f"o{c}")).alias(f"r{c}") for c in range(2)])
-    context = context.withColumn("c", _beyond(F.log("r1") - F.log("r0")))
+        (_discounted(F.col(f"k{c}"), seen[c], least) / F.greatest(F.col(f"n{c}"), F.lit(1))).alias(f"o{c}") for c in range(2)], (F.col("k0") + F.col("k1")).alias("k"), (F.col("n0") + F.col("n1")).alias("n"))
+    context = share.groupBy("v").agg(*[(1 - F.sum(f"o{c}")).alias(f"r{c}") for c in range(2)], F.max("n").alias("times"))
+    context = context.withColumn("c", F.log("r1") - F.log("r0"))
     more = [F.log(F.col(f"o{c}") / F.col(f"p{c}") + F.col(f"r{c}")) for c in range(2)]
-    pair = share.join(context, "v").join(word, "w").select(F.lit(2).alias("tag"), "x", (_beyond(more[1] - more[0]) - F.col("c")).alias("gain"))
-    entries = _stored(
-        word.select(F.lit(0).alias("tag"), F.col("w").alias("x"), _beyond(F.log("p1") - F.log("p0")).alias("gain"))
-        .unionByName(context.select(F.lit(1).alias("tag"), F.col("v").alias("x"), F.col("c").alias("gain"))).unionByName(pair)
-        .filter(F.col("gain") != 0).mapInArrow(_keyed, "key long, word double, pair double")
-        .groupBy("key").agg(F.sum("word").alias("word"), F.sum("pair").alias("pair")), path)
+    parts = lambda gain: (_beyond(gain), _within(gain))
+    both, left = parts(more[1] - more[0]), parts(F.col("c"))
+    pair = share.join(context, "v").join(word, "w").select(F.lit(2).alias("tag"), "x", *[x - y for x, y in zip(both, left, strict=True)], F.col("k"))
+    found = (word.select(F.lit(0), "w", *parts(F.log("p1") - F.log("p0")), "e")
+             .union(context.select(F.lit(1), "v", *left, "times")).union(pair).toDF("tag", "x", "gain", "faint", "times"))
+    entries = _stored(found.filter(F.col("gain") != 0).mapInArrow(_keyed, "key long, word double, pair double, faint double, times long")
+                      .groupBy("key").agg(F.sum("word").alias("word"), F.sum("pair").alias("pair")), path)
     m = KneserNey(entries)
     bitmap = entries.groupBy(F.shiftrightunsigned("key", 64 - BITMAP + 6).alias("at")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITMAP}) & 63 as int))")).alias("b")).toArrow()
     m.bits[np.asarray(bitmap["at"])] = np.asarray(bitmap["b"]).view(np.uint64)
+    # the eight bytes of a row are made in one task, so there is one shuffle
+    place = F.shiftrightunsigned("key", 64 - FAINT)
+    faint = (found.filter(F.col("faint") != 0).mapInArrow(_keyed, "key long, word double, pair double, faint double, times long")
+             .select(F.shiftrightunsigned(place, 3).alias("at"), place.bitwiseAND(F.lit(7)).cast("int").alias("byte"), "faint", "times").repartition("at")
+             .groupBy("at", "byte").agg((F.sum(F.col("faint") * F.col("times")) / F.sum("times") / F.lit(_STEP)).alias("mean"))
+             .groupBy("at").agg(F.bit_or(F.expr("shiftleft(cast(round(mean) as bigint) & 255, 8 * byte)")).alias("b")).toArrow())
+    m.faint.view(np.int64)[np.asarray(faint["at"])] = np.asarray(faint["b"])
+    free_shuffles(counts.sparkSession)
     return m
 
 
@@ -283,8 +310,8 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = np.zeros(len(x), np.int64)
         for t in range(3):
             key[tag == t] = entry_keys(t, x[tag == t].copy())
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.where(tag == 0, gain, 0.0)), pa.array(np.where(tag == 0, 0.0, gain))],
-                                         names=["key", "word", "pair"])
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.where(tag == 0, gain, 0.0)), pa.array(np.where(tag == 0, 0.0, gain)),
+                                          b.column("faint"), b.column("times")], names=["key", "word", "pair", "faint", "times"])
 
 
 def _features(x: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -315,19 +342,20 @@ def _fit_curve(m: KneserNey, f: np.ndarray, y: np.ndarray, rounds: int = 200, ri
 
 
 def _with_evidence(docs: DataFrame, m: KneserNey, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """row (a struct of the columns ``keep``, all by default), mean evidence x0 and x1 and number of words n of each text; equal texts (by
-    64 bits of hash) are looked up once."""
+    """row (a struct of the columns ``keep``, all by default), mean strong (x0, x1) and faint (y0, y1) evidence and number of words n of each
+    text; strong evidence of equal texts (by 64 bits of hash) is looked up once."""
     keep = docs.columns if keep is None else keep
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.xxhash64(text).alias("a"), text.alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(m.bits)
+    shared, table = (docs.sparkSession.sparkContext.broadcast(x) for x in (m.bits, m.faint))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 1 << 20):
-                first = words(*utf8(b.column("text")), ALNUM)[3]
-                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("a"), pa.array(np.diff(first), pa.int64())],
-                                                 names=["row", "a", "n"])
+                sums, n = _faint(table.value, b.column("text"))
+                mean = sums / np.maximum(n, 1)[:, None]
+                yield pa.RecordBatch.from_arrays([b.column("row"), b.column("a"), pa.array(n, pa.int64()), pa.array(mean[:, 0]), pa.array(mean[:, 1])],
+                                                 names=["row", "a", "n", "y0", "y1"])
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -336,18 +364,19 @@ def _with_evidence(docs: DataFrame, m: KneserNey, text_col: str = "text", keep:
                 where = pa.array(row)
                 yield pa.RecordBatch.from_arrays([b.column("a").take(where), pa.array(key), pa.array(times)], names=["a", "key", "n"])
 
-    counted = keyed.mapInArrow(counts, T.StructType([*(keyed.schema[c] for c in ("row", "a")), T.StructField("n", T.LongType())]))
+    counted = keyed.mapInArrow(counts, T.StructType([*(keyed.schema[c] for c in ("row", "a")), T.StructField("n", T.LongType()),
+                                                     *(T.StructField(c, T.DoubleType()) for c in _MEANS[2:])]))
     if m.entries is None:
-        return counted.select("row", F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"), "n")
+        return counted.select("row", F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"), "y0", "y1", "n")
     found = keyed.select("a", "text").mapInArrow(hits, "a long, key long, n long")
     sums = (found.join(m.entries, "key").dropDuplicates(["a", "key"])
             .groupBy("a").agg(F.sum(F.col("word") * F.col("n")).alias("s0"), F.sum(F.col("pair") * F.col("n")).alias("s1")))
     mean = lambda c: F.coalesce(F.col(c) / F.greatest(F.col("n"), F.lit(1)), F.lit(0.0))
-    return counted.join(sums, "a", "left").select("row", mean("s0").alias("x0"), mean("s1").alias("x1"), "n")
+    return counted.join(sums, "a", "left").select("row", mean("s0").alias("x0"), mean("s1").alias("x1"), "y0", "y1", "n")
 
 
 def _curve(m: KneserNey) -> Column:
-    x = [F.col("x0"), F.col("x1"), F.col("x0") * F.sqrt(F.col("n")), F.col("x1") * F.sqrt(F.col("n"))]
+    x = [F.col(c) for c in _MEANS] + [F.col(c) * F.sqrt(F.col("n")) for c in _MEANS]
     z = F.lit(float(m.curve[-1]))
     for i, c in enumerate(x):
         z = z + (c - float(m.center[i])) / float(m.scale[i]) * float(m.curve[i])

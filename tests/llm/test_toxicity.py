@@ -153,3 +153,16 @@ def test_columns_of_any_name_stay(spark, tables):
     assert out.columns == [*[c for c in odd.columns if c != "toxicity"], "toxicity"]
     assert out.filter("row = 'en' AND _text = 'en' AND n = 'en'").count() == odd.count()
     assert X.remove_toxic(odd, X.KneserNey()).columns == odd.columns
+
+
+def test_small_differences_of_many_words_count(spark):
+    rnd, vocabulary = random.Random(5), [f"word{i}" for i in range(2000)]
+    often = [[1 + (i + toxic) % 2 for i in range(2000)] for toxic in (0, 1)]  # each word is twice as frequent in one class
+    rows = [(d, " ".join(rnd.choices(vocabulary, often[d % 4 == 0], k=80)), int(d % 4 == 0)) for d in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    m = X.fit(docs, docs)
+    strong, _ = X.evidence(m, pa.array([t for _, t, _ in rows]))
+    faint, n = X._faint(m.faint, pa.array([t for _, t, _ in rows]))
+    assert np.abs(strong).sum() < 0.05 * np.abs(faint / n[:, None]).sum()
+    out = X.report(docs, docs).filter("held_out").toPandas()
+    assert ((out.predicted == 1) == (out.doc_id % 4 == 0)).mean() > 0.95
