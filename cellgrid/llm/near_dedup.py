@@ -216,7 +216,7 @@ def _compare_block(size: int, percent: int, result: T.StructType):
         table = table.combine_chunks()
         asks = np.asarray(table.column("asks"))
         ids, part = table.column("id").to_pylist(), table.column("k").to_pylist()
-        sets = shingle_sets(table.column("text").combine_chunks(), size)
+        sets = [s for whole in table.select(["text"]).to_batches() for b in slices(whole, "text") for s in shingle_sets(b.column("text"), size)]
         rows = np.flatnonzero(~asks)
         out: list[tuple] = []
         if len(rows) and asks.any():
