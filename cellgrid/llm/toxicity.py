@@ -291,8 +291,8 @@ def _of_counts(counts: DataFrame, part: int, path: str) -> KneserNey | None:
     # the eight bytes of a row are made in one task, so there is one shuffle
     place = F.shiftrightunsigned("key", 64 - FAINT)
     faint = (found.filter(F.col("faint") != 0).mapInArrow(_keyed, "key long, word double, pair double, faint double, times long")
-             .select(F.shiftrightunsigned(place, 3).alias("at"), place.bitwiseAND(F.lit(7)).cast("int").alias("byte"), "faint", "times").repartition("at")
-             .groupBy("at", "byte").agg((F.sum(F.col("faint") * F.col("times")) / F.sum("times") / F.lit(_STEP)).alias("mean"))
+             .select(F.shiftrightunsigned(place, 3).alias("at"), place.bitwiseAND(F.lit(7)).cast("int").alias("byte"), F.round(F.col("faint") / F.lit(_STEP)).cast("int").alias("steps"), "times").repartition("at")
+             .groupBy("at", "byte").agg((F.sum(F.col("steps") * F.col("times")) / F.sum("times")).alias("mean"))
              .groupBy("at").agg(F.bit_or(F.expr("shiftleft(cast(round(mean) as bigint) & 255, 8 * byte)")).alias("b")).toArrow())
     m.faint.view(np.int64)[np.asarray(faint["at"])] = np.asarray(faint["b"])
     free_shuffles(counts.sparkSession)
