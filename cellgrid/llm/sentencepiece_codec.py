@@ -294,6 +294,14 @@ def _int_lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
 
 
+def _with_ids(batches: Iterator[pa.RecordBatch], codec: Codec, text_col: str, ids_col: str) -> Iterator[pa.RecordBatch]:
+    """The rows with their ids.  Workers live on after this, so little text is encoded at a time and Arrow gives back what it holds."""
+    for whole in batches:
+        for b in slices(whole, text_col):
+            yield pa.RecordBatch.from_arrays([*b.columns, _int_lists(*codec.encode(b.column(text_col)))], names=[*b.schema.names, ids_col])
+        pa.default_memory_pool().release_unused()
+
+
 def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with ``ids_col`` (array of int, replacing a column of that name): the vocabulary's encoding of the whole
     text, without special tokens.  Null and empty texts have no ids."""
@@ -301,10 +309,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", ids_col: st
     shared = _share(docs, model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for whole in batches:
-            for b in slices(whole, text_col, 8 << 20):
-                yield pa.RecordBatch.from_arrays([*b.columns, _int_lists(*codec.encode(b.column(text_col)))], names=[*b.schema.names, ids_col])
+        return _with_ids(batches, _codec(shared), text_col, ids_col)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
 

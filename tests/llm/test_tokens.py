@@ -62,6 +62,18 @@ def test_encode_and_decode_equal_the_library(model, library):
         assert back[i] == library.decode(want)
 
 
+def test_encode_takes_little_text_at_a_time(model, library):
+    codec, texts = sentencepiece_codec.Codec(model), ["the old ferry ran late " * 9000 for _ in range(15)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(15)), "text": texts})
+    assert batch.column("text").nbytes > 3_000_000
+    out = list(sentencepiece_codec._with_ids(iter([batch]), codec, "text", "ids"))
+    assert max(sum(map(len, b.column("text").to_pylist())) for b in out) <= 2 << 20
+    got = pa.Table.from_batches(out)
+    assert got.column("doc_id").to_pylist() == list(range(15)) and got.column("text").to_pylist() == texts
+    want = library.encode(texts[0])
+    assert all(ids == want for ids in got.column("ids").to_pylist())
+
+
 def test_pair_table_equals_plain_merging(model):
     table, rnd = sentencepiece_codec.PairTable(model), random.Random(4)
     import numpy as np
