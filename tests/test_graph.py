@@ -143,3 +143,78 @@ def test_pagerank_and_betweenness_wait_for_nothing_else(spark, monkeypatch):
     monkeypatch.setattr(fx, "centrality", None)
     for name in ("pagerank", "betweenness"):
         assert [tuple(r) for r in E.queries()[name](spark, "nowhere").collect()] == [("a", 0.5)]
+
+
+def test_components_of_a_long_path_need_few_rounds(spark, monkeypatch):
+    from cellgrid.operators import components
+    rounds, step = [], components._small_star
+    monkeypatch.setattr(components, "_small_star", lambda e: (rounds.append(1), step(e))[1])
+    rows = [(f"a{i:04d}", f"a{i + 1:04d}") for i in range(400)] + [("b1", "b2"), ("b2", "b2"), (None, "b3"), ("b2", "b1"), ("c1", "c1")]
+    got = {r.vertex: r.component for r in components.connected_components(spark.createDataFrame(rows, "u string, v string")).collect()}
+    assert got == {**{f"a{i:04d}": "a0000" for i in range(401)}, "b1": "b1", "b2": "b1"}
+    assert len(rounds) <= 5  # 10 when every edge went through the rounds
+
+
+@pytest.mark.parametrize("limit", [3, 50, 10 ** 6])
+def test_stars_of_a_task_connect_what_its_edges_connect(monkeypatch, limit):
+    import random
+
+    import pyarrow as pa
+
+    from cellgrid.operators import components
+    monkeypatch.setattr(components, "LOCAL_VERTICES", limit)
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)]
+    table = pa.table({"u": pa.array([a for a, _ in rows]), "v": pa.array([b for _, b in rows])})
+
+    def parts(pairs):
+        root = {x: x for x in range(300)}
+        for _ in range(300):
+            new = dict(root)
+            for a, b in pairs:
+                new[a] = new[b] = min(new[a], new[b])
+            if new == root:
+                return root
+            root = new
+
+    out = [r for b in components._within_tasks(iter(table.to_batches(max_chunksize=20))) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert parts(out) == parts(rows)
+    assert limit < 300 or len(out) == len({a for a, b in rows} | {b for a, b in rows}) - len({parts(rows)[x] for r in rows for x in r})
+
+
+def test_few_and_very_many_shortest_paths_in_one_level_are_counted_exactly():
+    from fractions import Fraction
+
+    import numpy as np
+    k = 450  # diamonds of three ways, 3 ** 450 paths, beside a plain path of the same length; both end in the same vertex
+    rows, at, new = [], 0, 1
+    for _ in range(k):
+        rows += [e for m in range(new, new + 3) for e in ((at, m), (m, new + 3))]
+        at, new = new + 3, new + 4
+    plain = list(range(new, new + 2 * k - 1))
+    rows += list(zip([0, *plain], [*plain, at], strict=True))
+    n = plain[-1] + 1
+    near = [[] for _ in range(n)]
+    for a, b in rows:
+        near[a].append(b)
+        near[b].append(a)
+    sources, want = [0, 1, at, plain[3]], [Fraction(0)] * n
+    for s in sources:
+        far, paths, order = {s: 0}, [0] * n, [s]
+        paths[s] = 1
+        for x in order:
+            for y in near[x]:
+                if y not in far:
+                    far[y] = far[x] + 1
+                    order.append(y)
+                if far[y] == far[x] + 1:
+                    paths[y] += paths[x]
+        credit = [0.0] * n  # ratios of neighbouring numbers of paths are exact, the sums are not
+        for x in reversed(order[1:]):
+            for y in near[x]:
+                if far[y] == far[x] - 1:
+                    credit[y] += float(Fraction(paths[y], paths[x])) * (1 + credit[x])
+            want[x] += Fraction(credit[x])
+    u, v = np.array(rows + [(b, a) for a, b in rows]).T
+    got = graph._brandes(u, v, n, np.array(sources))
+    assert got == pytest.approx([float(x) for x in want], rel=1e-9, abs=1e-9)
